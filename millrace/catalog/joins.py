@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from millrace.catalog import standins as st
 from millrace.catalog.registry import query, r
 
-from millrace.functions.labels import keyword_flags, occupation_flags
+from millrace.functions.labels import keyword_flags, with_occupation_flags
 from millrace.operators import lookups as op
 from millrace.operators.cleaning import drop_every_copy
-from millrace.catalog.projection import OCCUPATION_SQL
+from millrace.catalog.projection import OCCUPATION_ORDER, OCCUPATION_SQL
 from millrace.functions.scalar import word_count
 
 
@@ -145,7 +145,7 @@ def _(t):
     f"with {st.TALKS} select talk_id, {OCCUPATION_SQL} from talks",
 )
 def _(t):
-    return st.talks(t).select("talk_id", *[c.alias(n) for n, c in occupation_flags().items()])
+    return with_occupation_flags(st.talks(t)).select("talk_id", *OCCUPATION_ORDER)
 
 
 @query(

@@ -6,14 +6,14 @@ from millrace.catalog import standins as st
 from millrace.catalog.registry import query
 from millrace.functions import vocab
 from millrace.functions.labels import (
-    event_flags,
     inverted,
     last_label,
     list_flags,
     none_set,
-    occupation_flags,
     recode,
     sex_status,
+    with_event_flags,
+    with_occupation_flags,
 )
 from millrace.functions.scalar import delay_band, worst_status
 
@@ -237,7 +237,7 @@ EVENT_ORDER = ["TED", "TEDx", "TED_Global", "TED_Other", "Non_TED_University", "
            as occupation from flags""",
 )
 def _(t):
-    flagged = st.talks(t).withColumns(occupation_flags())
+    flagged = with_occupation_flags(st.talks(t))
     return flagged.select("talk_id", last_label(OCCUPATION_ORDER).alias("occupation"))
 
 
@@ -246,8 +246,7 @@ def _(t):
     f"with {st.TALKS} select talk_id, {EVENT_SQL} from talks",
 )
 def _(t):
-    flags = event_flags()
-    return st.talks(t).select("talk_id", *[c.alias(n) for n, c in flags.items()])
+    return with_event_flags(st.talks(t)).select("talk_id", *EVENT_ORDER)
 
 
 @query(

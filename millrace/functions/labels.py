@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import vocab
@@ -60,33 +61,42 @@ def keyword_flags(col: str, groups: Mapping[str, Sequence[str]]) -> dict[str, Co
     }
 
 
-def flags_with_fallback(
-    exact: Mapping[str, Column], loose: Mapping[str, Column], rest: str
-) -> dict[str, Column]:
-    """Exact flags; rows without one use the loose flags; rows still without one get ``rest``."""
-    any_exact = F.greatest(*exact.values(), F.lit(0)) == 1
-    out = {
-        name: F.when(any_exact, exact.get(name, F.lit(0))).otherwise(loose.get(name, F.lit(0)))
-        for name in {**exact, **loose}
-    }
-    any_flag = F.greatest(*out.values()) == 1
-    out[rest] = (~any_flag).cast("int")
-    return out
+def with_group_flags(
+    df: DataFrame,
+    col: str,
+    exact: Mapping[str, Sequence[str]],
+    loose: Mapping[str, Sequence[str]],
+    rest: str,
+) -> DataFrame:
+    """Adds 0/1 columns: groups listing the value; else groups with a keyword in it; else ``rest``.
+
+    All tests of a row end in one bit mask, worked out once; the flags read its bits.
+    """
+    names = list(dict.fromkeys([*exact, *loose]))
+    bits = {n: 1 << i for i, n in enumerate(names)}
+
+    def mask(flags: Mapping[str, Column]) -> Column:
+        return reduce(lambda a, b: a + b, [flag * bits[n] for n, flag in flags.items()])
+
+    staged = df.withColumn("__listed", mask(list_flags(col, exact)))
+    staged = staged.withColumn(
+        "__mask", F.when(F.col("__listed") > 0, F.col("__listed")).otherwise(mask(keyword_flags(col, loose)))
+    )
+    flags = {n: (F.col("__mask").bitwiseAND(F.lit(bit)) > 0).cast("int") for n, bit in bits.items()}
+    flags[rest] = (F.col("__mask") == 0).cast("int")
+    return staged.withColumns(flags).drop("__listed", "__mask")
 
 
-def occupation_flags(col: str = "speaker_occupation") -> dict[str, Column]:
-    return flags_with_fallback(
-        list_flags(col, vocab.OCCUPATION_GROUPS),
-        keyword_flags(col, vocab.OCCUPATION_KEYWORDS),
-        vocab.OTHER_OCCUPATIONS,
+def with_occupation_flags(df: DataFrame, col: str = "speaker_occupation") -> DataFrame:
+    return with_group_flags(
+        df, col, vocab.OCCUPATION_GROUPS, vocab.OCCUPATION_KEYWORDS, vocab.OTHER_OCCUPATIONS
     )
 
 
-def event_flags(col: str = "event") -> dict[str, Column]:
-    main = list_flags(col, {"TED": [f"TED{y}" for y in vocab.MAIN_EVENT_YEARS]})
-    flags = flags_with_fallback(main, keyword_flags(col, vocab.EVENT_KEYWORDS), vocab.OTHER_EVENTS)
-    flags["TED_Other"] = cleared_where(flags["TED_Other"], flags["TED_Global"])
-    return flags
+def with_event_flags(df: DataFrame, col: str = "event") -> DataFrame:
+    main = {"TED": [f"TED{y}" for y in vocab.MAIN_EVENT_YEARS]}
+    flagged = with_group_flags(df, col, main, vocab.EVENT_KEYWORDS, vocab.OTHER_EVENTS)
+    return flagged.withColumn("TED_Other", cleared_where(F.col("TED_Other"), F.col("TED_Global")))
 
 
 def cleared_where(flag: Column, other: Column) -> Column:
