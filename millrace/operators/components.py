@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import written
+from millrace.session import written_counting
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("h"),
-    ).first()
-    return row["n"], row["h"]
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written out, with their number and a digest of them."""
+    stored, seen = written_counting(
+        edges, "edges", n=F.count(F.lit(1)), digest=F.bit_xor(F.xxhash64("u", "v"))
+    )
+    return stored, (seen["n"], seen["digest"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     low = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
     low = low.select("k", F.least("k", "m").alias("m"))
     linked = both.where("v > u").join(low, F.col("u") == F.col("k"))
-    return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -42,11 +42,9 @@ def component_roots(edges: DataFrame) -> DataFrame:
     current = edges.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).distinct()
-    current = written(current, "edges")
-    before = _signature(current)
-    while True:
-        current = written(_small_star(_large_star(current)), "edges")
-        after = _signature(current)
+    current, before = _stored(current)
+    while before[0]:
+        current, after = _stored(_small_star(_large_star(current)))
         if after == before:
             break
         before = after

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 
@@ -87,3 +87,10 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_counting(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``written``, with aggregates of the rows taken while they are stored: no extra pass."""
+    seen = Observation()
+    stored = written(df.observe(seen, *[c.alias(k) for k, c in measures.items()]), name)
+    return stored, seen.get
