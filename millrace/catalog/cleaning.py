@@ -126,7 +126,8 @@ def _(t):
     "M8_replace_invalid",
     f"""with {st.CLIENTS}
     select client_id, status, case when age >= 21 then age else cast(round(
-           avg(case when age >= 21 then age end) over (partition by status), 0) as int) end as age from clients""",
+           coalesce(avg(case when age >= 21 then age end) over (partition by status),
+                    (select avg(age) from clients where age >= 21)), 0) as int) end as age from clients""",
 )
 def _(t):
     rows = st.clients(t).select("client_id", "status", "age")

@@ -1 +1,173 @@
-"""To be filled."""
+"""L1-L7, L12, L20-L28 and E8. Learners differ from one engine to the next, so these have no SQL
+check; ``tests/test_learners.py`` holds what must be true of them."""
+
+from pyspark.sql import functions as F
+
+from millrace.catalog import standins as st
+from millrace.catalog.registry import query
+from millrace.functions.scalar import clip_negative, residual
+from millrace.operators import learners as op
+from millrace.operators import metrics
+from millrace.operators.features import assembled
+from millrace.operators.ranking import hash_split, stratified_folds, stratified_split
+from millrace.operators.stats import category_counts
+
+_MEASURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
+_CREDIT = ["credit_limit", "sex", "education", "status", "age", "missed_payments", "avg_ba", "avg_pa"]
+
+
+def priced_lines(t):
+    """``row_id, label, features``: the price of a line from its quantity, rates and part."""
+    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = lines.withColumn("row_id", F.xxhash64(*t.lineitem.columns)).withColumnRenamed("l_extendedprice", "label")
+    return assembled(rows, _MEASURES).select("row_id", "label", "features")
+
+
+def split_lines(t, weights=(0.8, 0.2)):
+    parts = hash_split(priced_lines(t), "row_id", weights, seed=4)
+    return [parts.where(F.col("part") == i).drop("part") for i in range(len(weights))]
+
+
+def credit_rows(t):
+    from millrace.plans.credit import cleaned
+
+    rows = cleaned(st.clients(t)).withColumnRenamed("credit_default", "label")
+    return assembled(rows, _CREDIT).select("client_id", F.col("label").cast("double").alias("label"), "features")
+
+
+def split_credit(t):
+    parts = stratified_split(credit_rows(t), "label", "client_id", 0.3, 42)
+    return parts.where("is_test = 0").drop("is_test"), parts.where("is_test = 1").drop("is_test")
+
+
+def placed_customers(t):
+    from millrace.catalog.neighbours import points
+
+    return assembled(points(t), ["x0", "x1"])
+
+
+@query("L1_linear_regression")
+def _(t):
+    train, valid = split_lines(t)
+    models = {
+        f"{p}:{s}": op.linear_regression(p, s)
+        for p, s in (("none", 0.0), ("l1", 0.1), ("l2", 0.1), ("l2", 1.0))
+    }
+    return op.validation_sweep(train, valid, models)
+
+
+@query("L2_decision_tree_regressor")
+def _(t):
+    train, valid = split_lines(t)
+    model = op.tree_regressor(10).fit(train)
+    return metrics.log_errors(model.transform(valid).withColumn("prediction", clip_negative("prediction")))
+
+
+@query("L3_random_forest_regressor")
+def _(t):
+    train, valid = split_lines(t)
+    scored = op.forest_regressor(12).fit(train).transform(valid).withColumn("prediction", clip_negative("prediction"))
+    return scored.select("row_id", residual("prediction", "label").alias("residual"))
+
+
+@query("L4_decision_tree_classifier")
+def _(t):
+    train, test = split_credit(t)
+    return metrics.class_report(op.tree_classifier("entropy", 8, 5).fit(train).transform(test))
+
+
+@query("L5_random_forest_classifier")
+def _(t):
+    train, test = split_credit(t)
+    model = op.forest_classifier(20, 8, 3).fit(train)
+    return metrics.averaged_scores(model.transform(test))
+
+
+@query("L6_kmeans")
+def _(t):
+    rows = placed_customers(t)
+    model = op.kmeans_best(rows, 9, starts=3)
+    return category_counts(model.transform(rows), "prediction")
+
+
+@query("L7_kmeans_sweep")
+def _(t):
+    return op.k_sweep(placed_customers(t), range(2, 7))
+
+
+@query("L12_nested_clusters")
+def _(t):
+    return op.nested_clusters(placed_customers(t), 4).select("client_id", "prediction")
+
+
+def _search(t, sample=None):
+    train, _ = split_credit(t)
+    folded = stratified_folds(train, "label", "client_id", 3, 7)
+    tree = op.tree_classifier()
+    grid = op.param_grid(tree, {"maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 10]})
+    if sample:
+        grid = op.random_params(grid, sample, seed=1)
+    return op.cross_validate(folded, tree, grid, op.f1_evaluator(), "fold", 3)
+
+
+@query("L20_grid_search")
+def _(t):
+    return _search(t)[1]
+
+
+@query("L21_random_search")
+def _(t):
+    return _search(t, sample=3)[1]
+
+
+@query("L22_cross_validation")
+def _(t):
+    train, _ = split_credit(t)
+    folded = stratified_folds(train, "label", "client_id", 5, 7)
+    tree = op.tree_classifier(depth=5)
+    return op.cross_validate(folded, tree, [{}], op.f1_evaluator(), "fold", 5)[1]
+
+
+def _depths(t):
+    train, valid = split_lines(t)
+    return op.validation_sweep(train, valid, {f"depth={d:02d}": op.tree_regressor(d) for d in (3, 6, 9)})
+
+
+@query("L23_validation_sweep")
+def _(t):
+    return _depths(t).where("split = 'validation'")
+
+
+@query("L24_best_parameters")
+def _(t):
+    return op.best_candidate(_depths(t))
+
+
+@query("E8_train_and_validation_errors")
+def _(t):
+    return _depths(t)
+
+
+@query("L25_predictions_on_held_out_rows")
+def _(t):
+    train, test = split_credit(t)
+    return op.tree_classifier(depth=5).fit(train).transform(test).select("client_id", "label", "prediction")
+
+
+@query("L26_feature_importances")
+def _(t):
+    train, _ = split_credit(t)
+    return op.importances(op.tree_classifier(depth=5).fit(train), _CREDIT, train)
+
+
+@query("L27_tree_as_rules")
+def _(t):
+    train, _ = split_credit(t)
+    text = op.tree_rules(op.tree_classifier(depth=4).fit(train), _CREDIT)
+    return t.spark.createDataFrame(list(enumerate(text.split("\n"))), "line int, rule string")
+
+
+@query("L28_random_baseline")
+def _(t):
+    _, test = split_credit(t)
+    return metrics.class_report(op.random_baseline(test, "client_id", 2, 3))

@@ -76,12 +76,16 @@ def fill_group_mode(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
 
 
 def replace_invalid(df: DataFrame, col: str, valid: Column, by: Sequence[str], digits: int = 0) -> DataFrame:
-    """Invalid values become the rounded mean of the valid rows of their group."""
-    kept = with_group_stats(df, by, F.avg(F.when(valid, F.col(col))).alias("__valid_mean"))
+    """Invalid values become the rounded mean of the valid rows of their group.
+
+    A group without a valid row takes the mean of all valid rows. Nulls stay null.
+    """
+    mean = F.avg(F.when(valid, F.col(col)))
+    kept = with_group_stats(df, by, mean.alias("__valid_mean"))
+    overall = df.agg(mean.alias("m")).scalar()
     kind = df.schema[col].dataType
-    return kept.withColumn(
-        col, F.when(valid, F.col(col)).otherwise(F.round("__valid_mean", digits).cast(kind))
-    ).drop("__valid_mean")
+    stand_in = F.round(F.coalesce(F.col("__valid_mean"), overall), digits).cast(kind)
+    return kept.withColumn(col, F.when(~valid, stand_in).otherwise(F.col(col))).drop("__valid_mean")
 
 
 def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:

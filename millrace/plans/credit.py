@@ -40,9 +40,10 @@ def coded(df: DataFrame) -> DataFrame:
 
 
 def filled(df: DataFrame) -> DataFrame:
-    """Sex and education by table mode, status by mode of (education, sex), age by mean of
-    the valid ages of the same sex and status."""
+    """Sex and education by table mode, status by mode of (education, sex) or else of the
+    table, age by mean of the valid ages of the same sex and status."""
     df = fill_group_mode(fill_mode(fill_mode(df, "sex"), "education"), "status", ["education", "sex"])
+    df = fill_mode(df, "status")
     df = df.withColumn("sex_status", sex_status())
     return replace_invalid(df, "age", F.col("age") >= vocab.YOUNGEST_VALID_AGE, ["sex_status"])
 
