@@ -11,6 +11,7 @@ from millrace.operators import metrics
 from millrace.operators.features import assembled
 from millrace.operators.ranking import hash_split, stratified_folds, stratified_split
 from millrace.operators.stats import category_counts
+from millrace.session import written
 
 _MEASURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 _CREDIT = ["credit_limit", "sex", "education", "status", "age", "missed_payments", "avg_ba", "avg_pa"]
@@ -24,7 +25,7 @@ def priced_lines(t):
 
 
 def split_lines(t, weights=(0.8, 0.2)):
-    parts = hash_split(priced_lines(t), "row_id", weights, seed=4)
+    parts = written(hash_split(priced_lines(t), "row_id", weights, seed=4), "lines")
     return [parts.where(F.col("part") == i).drop("part") for i in range(len(weights))]
 
 
@@ -36,14 +37,14 @@ def credit_rows(t):
 
 
 def split_credit(t):
-    parts = stratified_split(credit_rows(t), "label", "client_id", 0.3, 42)
+    parts = written(stratified_split(credit_rows(t), "label", "client_id", 0.3, 42), "credit")
     return parts.where("is_test = 0").drop("is_test"), parts.where("is_test = 1").drop("is_test")
 
 
 def placed_customers(t):
     from millrace.catalog.neighbours import points
 
-    return assembled(points(t), ["x0", "x1"])
+    return assembled(written(points(t), "points"), ["x0", "x1"])
 
 
 @query("L1_linear_regression")
@@ -102,7 +103,7 @@ def _(t):
 
 def _search(t, sample=None):
     train, _ = split_credit(t)
-    folded = stratified_folds(train, "label", "client_id", 3, 7)
+    folded = written(stratified_folds(train, "label", "client_id", 3, 7), "folds")
     tree = op.tree_classifier()
     grid = op.param_grid(tree, {"maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 10]})
     if sample:
@@ -123,7 +124,7 @@ def _(t):
 @query("L22_cross_validation")
 def _(t):
     train, _ = split_credit(t)
-    folded = stratified_folds(train, "label", "client_id", 5, 7)
+    folded = written(stratified_folds(train, "label", "client_id", 5, 7), "folds")
     tree = op.tree_classifier(depth=5)
     return op.cross_validate(folded, tree, [{}], op.f1_evaluator(), "fold", 5)[1]
 

@@ -139,11 +139,11 @@ def cross_validate(
     with kept(df) as rows:
         model = search.fit(rows)
     better = 1 if evaluator.isLargerBetter() else -1
-    means = model.avgMetrics
+    means = [float(m) for m in model.avgMetrics]
     rows = [
         (
             i, ", ".join(f"{p.name}={v}" for p, v in sorted(g.items(), key=lambda e: e[0].name)),
-            float(m), float(2 * s), 1 + sum(better * o > better * m for o in means),
+            m, float(2 * s), 1 + sum(better * o > better * m for o in means),
         )
         for i, (g, m, s) in enumerate(zip(grid, means, model.stdMetrics))
     ]

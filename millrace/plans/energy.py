@@ -56,11 +56,11 @@ def prepare(
 ) -> DataFrame:
     """Cleaned table with the readings one and two weeks earlier; rows must have all three.
 
-    The default ``lag_key`` keeps buildings and meters apart. ``["day_of_week", "hour"]`` with
+    Weather measures missing for a whole group take the mean of the table. The default ``lag_key`` keeps buildings and meters apart. ``["day_of_week", "hour"]`` with
     the order ``["building_id", "meter", "timestamp"]`` gives the form where a neighbour's
     reading can stand in at a border. Filtering before the lag would change it, so it is last.
     """
-    sky = fill_mean(fill_weather(dated(weather)), ["sea_level_pressure"])
+    sky = fill_mean(fill_weather(dated(weather)), [*HOURLY_MEANS, *WEEKLY_MEANS])
     facts = with_dimension(readings, buildings, "building_id")
     joined = with_dimension(facts, sky, ["timestamp", "site_id"])
     names = {1: "prev1week_meter_reading", 2: "prev2week_meter_reading"}
