@@ -74,7 +74,8 @@ def main():
     wanted = sys.argv[2:]
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+           "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"},
     )
     spark.sparkContext.setLogLevel("OFF")
     checks, bad, total = oracle_sql(), 0, 0.0
