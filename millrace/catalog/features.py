@@ -7,6 +7,7 @@ from millrace.catalog import standins as st
 from millrace.catalog.registry import query, r, rounded
 from millrace.functions.labels import dummies
 from millrace.operators import features as op
+from millrace.sources import bounded_rows
 
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -47,7 +48,7 @@ def _(t):
 )
 def _(t):
     # The list of categories is fitted once; it is what train and test tables then share.
-    values = [row[0] for row in op.label_list(t.part, "p_type").collect()]
+    values = [row[0] for row in bounded_rows(op.label_list(t.part, "p_type"), 1000)]
     return t.part.select("p_partkey", *[c.alias(n) for n, c in dummies("p_type", values).items()])
 
 

@@ -6,6 +6,7 @@ from millrace.catalog import standins as st
 from millrace.catalog.registry import query, r, rounded
 from millrace.functions.scalar import unique_item
 from millrace.operators import rules as op
+from millrace.session import written
 
 _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 _FLAGS = ["A", "N", "R"]
@@ -49,7 +50,7 @@ def baskets(t):
 
 
 def _mined(t):
-    rows = baskets(t)
+    rows = written(baskets(t), "baskets")
     return rows, op.mine(rows, SUPPORT, CONFIDENCE)
 
 
@@ -163,5 +164,5 @@ def _(t):
     """Rules over the credit table's nine items per client."""
     from millrace.plans.credit import client_items
 
-    rules = op.association_rules(op.mine(client_items(st.clients(t)), 0.05, 0.5))
+    rules = op.association_rules(op.mine(written(client_items(st.clients(t)), "baskets"), 0.05, 0.5))
     return _texts(op.select_rules(rules, "credit_default_new"))

@@ -103,8 +103,8 @@ def drop_every_copy(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
 def later_copies(df: DataFrame, cols: Sequence[str], row_key: str) -> DataFrame:
     """Rows that repeat an earlier row (all but the lowest ``row_key`` of equal rows).
 
-    Copies are counted per digest first, so only rows of repeated content are joined; the
-    content itself is compared in the join, the digest is only its shuffle key.
+    Copies are combined before the shuffle, so many copies of one content are one row there.
+    The join is spread by a digest and compares the content itself.
     """
     digest = F.xxhash64(*[F.col(c) for c in cols])
     tagged = df.withColumn("__digest", digest)

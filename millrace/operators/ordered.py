@@ -188,13 +188,17 @@ def lags(
     value: str,
     offsets: dict[int, str],
     hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add earlier values of ``value`` in the group: ``offsets`` maps distance to column name.
 
+    ``sized_by`` is a cheaper table whose groups are at least as large as those of ``df``; group
+    sizes are then taken from it and ``df`` is not computed twice.
+
     In a group too large for one task, only the first and last few rows of each range look
     beyond it, so only those are ordered across ranges.
     """
-    if largest_group(df, by) <= hot_rows:
+    if largest_group(df if sized_by is None else sized_by, by) <= hot_rows:
         win = W.partitionBy(*by).orderBy(*order)
         return df.withColumns({name: F.lag(value, k).over(win) for k, name in offsets.items()})
 

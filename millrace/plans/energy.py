@@ -64,7 +64,8 @@ def prepare(
     facts = with_dimension(readings, buildings, "building_id")
     joined = with_dimension(facts, sky, ["timestamp", "site_id"])
     names = {1: "prev1week_meter_reading", 2: "prev2week_meter_reading"}
-    lagged = lags(joined, lag_key, lag_order, "meter_reading", names, hot_rows)
+    # Joins to dimensions add no rows, so the readings alone bound the size of lag groups.
+    lagged = lags(joined, lag_key, lag_order, "meter_reading", names, hot_rows, dated(readings))
     return fill_constant(lagged, {n: 0.0 for n in names.values()}).where(
         "meter_reading > 0 and prev2week_meter_reading > 0 and prev1week_meter_reading > 0"
     )
