@@ -61,34 +61,37 @@ def _(t):
 def _(t):
     train, valid = split_lines(t)
     model = op.tree_regressor(10).fit(train)
-    return metrics.log_errors(model.transform(valid).withColumn("prediction", clip_negative("prediction")))
+    scored = op.scores(model, valid, "label", "prediction")
+    return metrics.log_errors(scored.withColumn("prediction", clip_negative("prediction")))
 
 
 @query("L3_random_forest_regressor")
 def _(t):
     train, valid = split_lines(t)
-    scored = op.forest_regressor(12).fit(train).transform(valid).withColumn("prediction", clip_negative("prediction"))
-    return scored.select("row_id", residual("prediction", "label").alias("residual"))
+    scored = op.scores(op.forest_regressor(12).fit(train), valid, "row_id", "label", "prediction")
+    return scored.withColumn("prediction", clip_negative("prediction")).select("row_id", residual("prediction", "label").alias("residual"))
 
 
 @query("L4_decision_tree_classifier")
 def _(t):
     train, test = split_credit(t)
-    return metrics.class_report(op.tree_classifier("entropy", 8, 5).fit(train).transform(test))
+    return metrics.class_report(
+        op.scores(op.tree_classifier("entropy", 8, 5).fit(train), test, "label", "prediction")
+    )
 
 
 @query("L5_random_forest_classifier")
 def _(t):
     train, test = split_credit(t)
     model = op.forest_classifier(20, 8, 3).fit(train)
-    return metrics.averaged_scores(model.transform(test))
+    return metrics.averaged_scores(op.scores(model, test, "label", "prediction"))
 
 
 @query("L6_kmeans")
 def _(t):
     rows = placed_customers(t)
     model = op.kmeans_best(rows, 9, starts=3)
-    return category_counts(model.transform(rows), "prediction")
+    return category_counts(op.scores(model, rows, "client_id", "prediction"), "prediction")
 
 
 @query("L7_kmeans_sweep")
@@ -98,7 +101,7 @@ def _(t):
 
 @query("L12_nested_clusters")
 def _(t):
-    return op.nested_clusters(placed_customers(t), 4).select("client_id", "prediction")
+    return op.nested_clusters(placed_customers(t), "client_id", 4)
 
 
 def _search(t, sample=None):
@@ -152,7 +155,7 @@ def _(t):
 @query("L25_predictions_on_held_out_rows")
 def _(t):
     train, test = split_credit(t)
-    return op.tree_classifier(depth=5).fit(train).transform(test).select("client_id", "label", "prediction")
+    return op.scores(op.tree_classifier(depth=5).fit(train), test, "client_id", "label", "prediction")
 
 
 @query("L26_feature_importances")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import clip_negative, hashed_class, squared_log_error
+from millrace.session import written
 
 # The deepest tree the learner accepts; a larger or missing depth means this one.
 DEEPEST = 30
@@ -79,6 +80,12 @@ class kept:
             t.unpersist()
 
 
+def scores(model: Model, df: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` of the scored rows, stored once: later steps read them without the model, which
+    may be gone by then, and do not predict again."""
+    return written(model.transform(df).select(*cols), "scores")
+
+
 # --- clustering --------------------------------------------------------------------------
 
 
@@ -105,9 +112,10 @@ def k_sweep(
     return df.sparkSession.createDataFrame(rows, "k int, sse double, silhouette double")
 
 
-def nested_clusters(df: DataFrame, k: int, seed: int = 0) -> DataFrame:
-    """Hierarchical groups by repeated halving, usable where linkage on all pairs is not."""
-    return BisectingKMeans(k=k, seed=seed).fit(df).transform(df)
+def nested_clusters(df: DataFrame, row_key: str, k: int, seed: int = 0) -> DataFrame:
+    """``row_key, prediction``: hierarchical groups by repeated halving, usable where linkage on
+    all pairs is not."""
+    return scores(BisectingKMeans(k=k, seed=seed).fit(df), df, row_key, "prediction")
 
 
 # --- search ------------------------------------------------------------------------------

@@ -85,7 +85,7 @@ def main():
         try:
             took, n, fault = check(spark, key, fn, checks.get(key), f"{DATA}/{sf}")
         except Exception as error:  # the report goes on with the next query
-            took, n, fault = 0.0, 0, f"{type(error).__name__}: {str(error)[:600]}"
+            took, n, fault = 0.0, 0, f"{type(error).__name__}: " + " ".join(str(error).split())[:1500]
         total += took
         bad += bool(fault)
         state = "FAIL" if fault else ("ok" if key in checks else "ran")
