@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -60,18 +59,11 @@ def open_tables(spark: SparkSession, folder: str) -> Tables:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local session without the setting gets a folder of its own.
-    """
+    """The folder every executor can reach: the checkpoint folder, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="millrace-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/millrace_scratch"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
