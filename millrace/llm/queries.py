@@ -12,13 +12,77 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
 
-def query(fn: Callable[[Tables], DataFrame]):
-    """Register ``fn(tables)`` under its own name."""
-    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(open_tables(spark, sf_dir))
-    return fn
+def query(sql: str | None = None):
+    """Register ``fn(tables)`` under its own name; ``sql`` gives the same rows."""
 
+    def register(fn: Callable[[Tables], DataFrame]):
+        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(open_tables(spark, sf_dir))
+        if sql:
+            CHECKS[fn.__name__] = sql.strip()
+        return fn
 
-@query
+    return register
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+@query(rf"""
+    with d as (
+        select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w
+        from documents
+    ), counted as (
+        select doc_id, cast(len(w) as bigint) as n_words,
+            cast(length(array_to_string(w, '')) as bigint) as word_chars,
+            cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+            length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as n_upper,
+            length(t) - length(regexp_replace(t, '[A-Za-z]|[^\x00-\x7F]', '', 'g')) as n_letters
+        from d
+    ), lines as (
+        select doc_id, line, count(*) as n
+        from (select doc_id, unnest(string_split(t, chr(10))) as line from d) as l
+        where regexp_matches(line, '{_WORD}') group by all
+    ), line_counts as (
+        select doc_id, sum(n) as n_lines, cast(sum(n - 1) as bigint) as n_dup_lines from lines group by 1
+    ), spans as (
+        select doc_id, unnest(generate_series(1, len(w) - 7)) as i, w from d where len(w) >= 8
+    ), twice as (
+        select doc_id, list(i) as spots from spans
+        group by doc_id, array_to_string(w[i : i + 7], ' ') having count(*) > 1
+    ), covered as (
+        select doc_id, count(distinct p) as n_repeat_words
+        from (select doc_id, a + k as p from (select doc_id, unnest(spots) as a from twice), range(8) as r(k))
+        group by 1
+    ), all_of as (
+        select doc_id, n_words, word_chars, n_symbols, n_upper, n_letters,
+            coalesce(n_lines, 0) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines,
+            coalesce(n_repeat_words, 0) as n_repeat_words
+        from counted left join line_counts using (doc_id) left join covered using (doc_id)
+    ), judged as (
+        select *, n_words < 20 as few, 100 * n_repeat_words > 30 * n_words as repeated,
+            100 * n_symbols > 30 * n_words as symbols, 100 * n_dup_lines > 50 * n_lines as lines,
+            n_letters >= 100 and 100 * n_upper > 50 * n_letters as upper_case,
+            n_words > 0 and (word_chars < 2 * n_words or word_chars > 25 * n_words) as word_length,
+            2 * n_letters < word_chars as no_letters
+        from all_of
+    )
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few or repeated as base_failed,
+        not (few or repeated or symbols or lines) as kept,
+        cast(few::int + 2 * repeated::int + 4 * symbols::int + 8 * lines::int + 16 * upper_case::int
+            + 32 * word_length::int + 64 * no_letters::int as bigint) as fail_bits
+    from judged
+""")
+def op5_quality_rules(t: Tables) -> DataFrame:
+    from millrace.llm.quality_rules import POLICIES, policy_keeps, policy_mask, rule_ledger
+
+    base, chosen = policy_mask(POLICIES["base"]), policy_mask(POLICIES["v1"])
+    return rule_ledger(t.documents).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~policy_keeps(base)).alias("base_failed"), policy_keeps(base | chosen).alias("kept"), "fail_bits",
+    )
+
+
+@query()
 def op8_packing(t: Tables) -> DataFrame:
     import public_tokenizers
 
