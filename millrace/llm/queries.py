@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.session import Tables, open_tables
 
@@ -24,6 +25,11 @@ def query(sql: str | None = None):
     return register
 
 
+def _crc(modulus: int):
+    """crc32 of the id as text, modulo ``modulus``; rows without an id get null."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -89,3 +95,11 @@ def op8_packing(t: Tables) -> DataFrame:
     from millrace.llm.packing import pack
 
     return pack(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op3_language_id(t: Tables) -> DataFrame:
+    from millrace.llm.langid import fit_language_model, identify_language
+
+    model = fit_language_model(t.documents, _crc(5) != 0)
+    return identify_language(t.documents, model, _crc(5) == 0)
