@@ -103,3 +103,11 @@ def op3_language_id(t: Tables) -> DataFrame:
 
     model = fit_language_model(t.documents, _crc(5) != 0)
     return identify_language(t.documents, model, _crc(5) == 0)
+
+
+@query()
+def op4_toxicity(t: Tables) -> DataFrame:
+    from millrace.llm.toxicity import fit_toxicity_model, score_toxicity
+
+    model = fit_toxicity_model(t.documents, t.labels, _crc(3) != 1)
+    return score_toxicity(t.documents, model, _crc(3) == 1)
