@@ -111,3 +111,10 @@ def op4_toxicity(t: Tables) -> DataFrame:
 
     model = fit_toxicity_model(t.documents, t.labels, _crc(3) != 1)
     return score_toxicity(t.documents, model, _crc(3) == 1)
+
+
+@query()
+def op7_quality_classifier(t: Tables) -> DataFrame:
+    from millrace.llm.quality_model import fit_quality_model, judge_quality
+
+    return judge_quality(t.documents, fit_quality_model(t.documents))

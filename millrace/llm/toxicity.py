@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.sampling import bounded_sample, texts_of
+from millrace.llm.sampling import bounded_sample, sample_table
 from millrace.llm.textkit import mixed, runs, span_hashes, text_buffers, word_spans
 
 BUCKETS = 1 << 18
 #: Word beginnings, in bytes, that are features besides the whole word.
-PREFIXES = (4, 5, 6, 7, 8)
+PREFIXES = (4, 5, 7)
 #: Most documents of each label to learn from, and most words of them all.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WORDS = 1500, 3000, 2_000_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WORDS = 1500, 3000, 1_500_000
 #: A feature has to stand in so many documents of the sample.
 LEAST_DOCS = 5
 THRESHOLD = 0.7
@@ -60,7 +60,7 @@ def sentence_features(data: np.ndarray, offsets: np.ndarray):
         first |= byte.astype(np.uint64) << np.uint64(8 * k)
     for column, k in enumerate(PREFIXES, 1):
         part = first & np.uint64((1 << (8 * k)) - 1)
-        out[:, column] = (mixed(part + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
+        out[:, column] = (mixed(part + np.uint64(k << 58)) >> np.uint64(46)).astype(np.int64)
     stops = np.flatnonzero(_ENDS[body[:-8]])
     row = np.searchsorted(bounds, np.arange(n), "right") - 1
     segment = np.searchsorted(stops, starts - low)
@@ -91,7 +91,7 @@ class ToxicityModel:
 
 
 def fit_noisy_or(
-    texts: list[str], labels: np.ndarray, document_weights: np.ndarray, l1: float = 0.5, steps: int = 150
+    texts: list[str], labels: np.ndarray, document_weights: np.ndarray, l1: float = 0.4, steps: int = 300
 ) -> ToxicityModel:
     """Fit on document labels by proximal gradient steps scaled per feature (RMS of past gradients)."""
     data, offsets = text_buffers(pa.array(texts, pa.large_string()))
@@ -150,23 +150,9 @@ def fit_toxicity_model(docs: DataFrame, labels: DataFrame, may_learn: Column, la
     named = bounded_sample(known.where("__y = 1"), "doc_id", "__y", SAMPLE_TOXIC).unionByName(
         bounded_sample(known.where("__y = 0"), "doc_id", "__y", SAMPLE_CLEAN)
     )
-    sample = texts_of(docs.where(F.col("text").isNotNull()).select("doc_id", "text"), named, SAMPLE_TOXIC + SAMPLE_CLEAN)
-    sample = sample.withColumn("__size", F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")))
-    # The sample is bounded, and so is this one-task running sum over it: the texts stay out of it.
-    sizes = sorted(
-        sample.select(F.xxhash64(F.lit(5), "doc_id"), "doc_id", "__size").collect(), key=lambda r: (r[0], r[1], r[2])
-    )
-    chosen, words = [], 0
-    for _, doc, size in sizes:
-        if words + size <= SAMPLE_WORDS:
-            words += size
-            chosen.append(doc)
-    if not chosen:
+    table = sample_table(docs, named, SAMPLE_TOXIC + SAMPLE_CLEAN, SAMPLE_WORDS)
+    if not table.num_rows:
         return none
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame([(c,) for c in sorted(set(chosen))], "__chosen long")
-    table = sample.join(F.broadcast(chosen), F.col("doc_id") == F.col("__chosen")).select("doc_id", "__y", "text").toArrow()
-    table = table.sort_by([("doc_id", "ascending"), ("__y", "ascending")])
     y = np.asarray(table["__y"].to_pylist())
     if y.min() == y.max():
         return none
