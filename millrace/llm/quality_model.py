@@ -46,7 +46,10 @@ def votes(measures: np.ndarray, same_as_previous: np.ndarray) -> np.ndarray:
         "upper_case": ((letters >= 30) & (2 * m["n_upper"] > letters), 4 * m["n_upper"] <= letters + 3),
         "same_word": (some & (100 * same_as_previous > 30 * n), 100 * same_as_previous <= 5 * n),
         "repeated_words": (some & (100 * m["n_repeat_words"] > 30 * n), 100 * m["n_repeat_words"] <= 20 * n),
-        "letters": (4 * letters < 3 * m["word_chars"], 4 * letters >= 3 * m["word_chars"]),
+        "letters": (
+            (n >= 10) & (100 * letters < 80 * m["word_chars"]),
+            (100 * letters >= 88 * m["word_chars"]) | ((n < 80) & (100 * letters >= 60 * m["word_chars"])),
+        ),
         "word_length": (
             (m["word_chars"] < 3 * n) | (m["word_chars"] > 10 * n),
             (m["word_chars"] >= 3 * n) & (m["word_chars"] <= 8 * n),
