@@ -118,3 +118,10 @@ def op7_quality_classifier(t: Tables) -> DataFrame:
     from millrace.llm.quality_model import fit_quality_model, judge_quality
 
     return judge_quality(t.documents, fit_quality_model(t.documents))
+
+
+@query()
+def op2_near_duplicates(t: Tables) -> DataFrame:
+    from millrace.llm.neardup import near_duplicates
+
+    return near_duplicates(t.documents, size=3, part=85, whole=100)
