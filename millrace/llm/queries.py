@@ -125,3 +125,46 @@ def op2_near_duplicates(t: Tables) -> DataFrame:
     from millrace.llm.neardup import near_duplicates
 
     return near_duplicates(t.documents, size=3, part=85, whole=100)
+
+
+@query(rf"""
+    with sized as (
+        select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as bigint) as size,
+            md5('mix-1|' || coalesce(cast(doc_id as varchar), '')) as key
+        from documents
+    ), ranked as (
+        select source, source_size, row_number() over (order by source nulls last) as source_rank
+        from (select source, cast(sum(size) as bigint) as source_size from sized group by source)
+    ), weighed as (
+        select *, case (source_rank - 1) % 3 when 0 then 3 when 1 then 1 else 2 end as weight,
+            source_size * 2 as most, cast(sum(source_size) over () as bigint) * 1.5::double as budget
+        from ranked
+    ), leveled as (
+        select *, row_number() over up as place,
+            (budget - coalesce(cast(sum(most) over (up rows between unbounded preceding and 1 preceding) as bigint), 0))
+                / cast(sum(weight) over (up rows between current row and unbounded following) as bigint) as level
+        from weighed window up as (order by most / weight, source_rank)
+    ), targets as (
+        select source, source_size, source_rank, budget, least(most::double, coalesce(weight *
+            (select level from leveled where most / weight >= level order by place limit 1), most::double)) as target
+        from leveled
+    ), queued as (
+        select s.doc_id, s.size, s.key, t.source_rank, c.copy, budget, (c.copy * source_size + cast(sum(s.size) over (
+                partition by t.source_rank, c.copy order by s.key, s.doc_id rows unbounded preceding) as bigint))
+                / target as finish
+        from sized s join targets t on s.source is not distinct from t.source, (values (0), (1)) as c(copy)
+        where s.size > 0
+    ), taken as (
+        select doc_id, sum(size) as taken from (
+            select doc_id, size, budget, sum(size) over (
+                order by finish, source_rank, copy, key, doc_id rows unbounded preceding) as running
+            from queued
+        ) where running <= budget group by doc_id
+    )
+    select doc_id, size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken
+    from sized s join targets t on s.source is not distinct from t.source left join taken using (doc_id)
+""")
+def op6_source_mix(t: Tables) -> DataFrame:
+    from millrace.llm.mixing import mix
+
+    return mix(t.documents)
