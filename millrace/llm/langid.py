@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.sampling import bounded_sample, texts_of
+from millrace.llm.textkit import map_texts
 
 UNKNOWN = "und"
 BUCKETS = 1 << 13
@@ -179,7 +180,7 @@ def fit_language_model(
     if not languages:
         return LanguageModel([], np.zeros(BUCKETS), np.zeros((BUCKETS + 1, 0)))
     summed = (
-        labelled.select("text").mapInArrow(_frequencies, "bucket long, n long")
+        map_texts(labelled.select("text"), _frequencies, "bucket long, n long")
         .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     )
     by_bucket = dict(zip(summed["bucket"].to_pylist(), summed["n"].to_pylist()))
@@ -191,7 +192,7 @@ def fit_language_model(
     each = max(20, sample_rows // len(languages))
     named = bounded_sample(labelled.select("doc_id", F.col(lang).alias("__lang")), "doc_id", "__lang", each)
     texts = texts_of(labelled.select("doc_id", "text"), named, each * len(languages))
-    sample = texts.mapInArrow(_sparse, "doc_id long, lang string, found array<int>, counts array<int>")
+    sample = map_texts(texts, _sparse, "doc_id long, lang string, found array<int>, counts array<int>")
     sample = sample.toArrow().to_pandas()
     sample = sample.sort_values(["doc_id", "lang"], kind="stable").reset_index(drop=True)
     sample = sample.sample(frac=1.0, random_state=3).reset_index(drop=True)
@@ -229,4 +230,4 @@ def _predict(model: LanguageModel):
 def identify_language(docs: DataFrame, model: LanguageModel, held_out: Column) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row; one pass, no shuffle."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out"))
-    return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    return map_texts(rows, _predict(model), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.textkit import mixed, runs, shingle_sets, signed, span_hashes, text_buffers, word_spans
+from millrace.llm.textkit import map_texts, mixed, runs, shingle_sets, signed, span_hashes, text_buffers, word_spans
 from millrace.operators.components import component_roots
 from millrace.session import written, written_counting
 
@@ -168,7 +168,7 @@ def compared(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
         wanted = F.broadcast(wanted)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id")
     rows = rows.select("a", "part", "role", "id", "text").repartition("a", "part").sortWithinPartitions("a", "part", "role")
-    return written(rows.mapInArrow(_compare(size), "a long, b long, shared long, either long"), "compared")
+    return written(map_texts(rows, _compare(size), "a long, b long, shared long, either long"), "compared")
 
 
 def _labelled(slots: DataFrame, links: DataFrame) -> DataFrame:
@@ -192,8 +192,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, part: int = 80, whole: int =
     similarity = part / whole
     t = bands_for(similarity) * BAND
     profile = written(
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .mapInArrow(_profile(size, t), "doc_id long, n long, set_a long, set_b long, bands array<long>"),
+        map_texts(
+            docs.select(F.col("doc_id").cast("long"), "text"), _profile(size, t),
+            "doc_id long, n long, set_a long, set_b long, bands array<long>",
+        ),
         "profile",
     )
     filled = profile.where("n > 0 and doc_id is not null")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from millrace.llm.textkit import WHITE, runs, span_hashes, text_buffers, word_spans
+from millrace.llm.textkit import WHITE, map_texts, runs, span_hashes, text_buffers, word_spans
 
 WINDOW = 2048
 END_ID = 1
@@ -246,4 +246,4 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, end_id: int
     two. The placement follows the order of the rows in a task, so it is the same when a lost
     task runs again.
     """
-    return docs.select("doc_id", "text").mapInArrow(_pack(tokenizer_file, window, end_id), PIECES)
+    return map_texts(docs.select("doc_id", "text"), _pack(tokenizer_file, window, end_id), PIECES)

@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.quality_rules import MEASURES, measured
 from millrace.llm.sampling import bounded_sample, sample_table
-from millrace.llm.textkit import mixed, runs, span_hashes, text_buffers, word_spans
+from millrace.llm.textkit import map_texts, mixed, runs, span_hashes, text_buffers, word_spans
 from millrace.session import written
 
 BUCKETS = 1 << 16
-#: Most documents of each weak label to fit on, and most words of them all.
-SAMPLE_EACH, SAMPLE_WORDS = 2000, 1_500_000
+#: Most documents of each weak label to fit on, and most characters of them all.
+SAMPLE_EACH, SAMPLE_CHARS = 2000, 7_000_000
 LEAST_DOCS = 5
 THRESHOLD = 0.5
 BAD, GOOD, NONE = 0, 1, 2
@@ -205,7 +205,7 @@ def _vote(batches):
 
 def fit_quality_model(docs: DataFrame) -> QualityModel:
     """Votes on every row of ``docs``, the label model over all of them, and the scorer on a sample."""
-    voted = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_vote, "doc_id long, pattern long"), "votes")
+    voted = written(map_texts(docs.select(F.col("doc_id").cast("long"), "text"), _vote, "doc_id long, pattern long"), "votes")
     found = voted.groupBy("pattern").count().toArrow()
     codes = found["pattern"].to_pylist()
     patterns = np.array([pattern_votes(c) for c in codes], np.int64).reshape(-1, len(LABELLERS))
@@ -217,7 +217,7 @@ def fit_quality_model(docs: DataFrame) -> QualityModel:
     good = [c for c, q in zip(codes, soft.tolist()) if q >= 0.5]
     weak = voted.where(F.col("doc_id").isNotNull()).withColumn("good", F.col("pattern").isin(good))
     named = bounded_sample(weak, "doc_id", "good", SAMPLE_EACH)
-    table = sample_table(docs, named, 2 * SAMPLE_EACH, SAMPLE_WORDS)
+    table = sample_table(docs, named, 2 * SAMPLE_EACH, SAMPLE_CHARS)
     if table.num_rows:
         by_code = dict(zip(codes, soft.tolist()))
         targets = np.array([by_code[c] for c in table["pattern"].to_pylist()])
@@ -248,4 +248,4 @@ def _judge(model: QualityModel, threshold: float):
 def judge_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, n_words, pattern, weak_good, score, kept`` of every row; one pass, no shuffle."""
     schema = "doc_id long, n_words long, pattern long, weak_good double, score double, kept boolean"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_judge(model, threshold), schema)
+    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), _judge(model, threshold), schema)

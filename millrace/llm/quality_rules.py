@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.textkit import WHITE, runs, span_hashes, text_buffers, windows, word_spans
+from millrace.llm.textkit import WHITE, map_texts, runs, span_hashes, text_buffers, windows, word_spans
 
 REPEAT_WORDS = 8
 MEASURES = (
@@ -126,7 +126,7 @@ def rule_bits(rules: Mapping[str, str] = RULES) -> Column:
 def rule_ledger(docs: DataFrame, rules: Mapping[str, str] = RULES) -> DataFrame:
     """``doc_id``, the measurements and ``fail_bits`` of every document. No shuffle."""
     schema = ", ".join(f"{c} long" for c in ("doc_id", *MEASURES))
-    measures = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_measure, schema)
+    measures = map_texts(docs.select(F.col("doc_id").cast("long"), "text"), _measure, schema)
     return measures.withColumn("fail_bits", rule_bits(rules))
 
 

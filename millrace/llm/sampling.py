@@ -33,19 +33,18 @@ def texts_of(docs: DataFrame, sample: DataFrame, most: int, key: str = "doc_id")
     return docs.join(F.broadcast(named), F.col(key) == F.col("__key")).drop("__key")
 
 
-def sample_table(docs: DataFrame, named: DataFrame, most_rows: int, most_words: int) -> pa.Table:
-    """The named rows with their whole texts, in id order, as far as they stay within ``most_words``.
+def sample_table(docs: DataFrame, named: DataFrame, most_rows: int, most_chars: int) -> pa.Table:
+    """The named rows with their whole texts, in id order, as far as they stay within ``most_chars``.
 
     ``docs`` has ``doc_id, text``; ``named`` has ``doc_id`` and other narrow columns, at most
     ``most_rows`` rows. Both bounds hold whatever the size of the corpus.
     """
     sample = texts_of(docs.where(F.col("text").isNotNull()).select("doc_id", "text"), named, most_rows)
-    size = F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+"))
-    sizes = sorted(map(tuple, sample.select(F.xxhash64(F.lit(5), "doc_id"), "doc_id", size).collect()))
-    chosen, words = set(), 0
+    sizes = sorted(map(tuple, sample.select(F.xxhash64(F.lit(5), "doc_id"), "doc_id", F.char_length("text")).collect()))
+    chosen, chars = set(), 0
     for _, doc, n in sizes:
-        if words + n <= most_words:
-            words += n
+        if chars + n <= most_chars:
+            chars += n
             chosen.add(doc)
     picked = docs.sparkSession.createDataFrame([(c,) for c in sorted(chosen)], "__chosen long")
     table = sample.join(F.broadcast(picked), F.col("doc_id") == F.col("__chosen")).drop("__chosen").toArrow()

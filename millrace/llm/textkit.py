@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -27,6 +28,20 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 _powers: list[np.ndarray] = []
 
 
+#: Texts go to Python in batches of at most so many rows and about so many bytes, so that a worker's
+#: memory follows the longest text, not the batch.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def map_texts(rows: DataFrame, task, schema: str) -> DataFrame:
+    """``rows.mapInArrow`` in small batches (a setting of the session)."""
+    conf = rows.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return rows.mapInArrow(task, schema)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit words."""
     x = x ^ (x >> np.uint64(30))

@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.sampling import bounded_sample, sample_table
-from millrace.llm.textkit import mixed, runs, span_hashes, text_buffers, word_spans
+from millrace.llm.textkit import map_texts, mixed, runs, span_hashes, text_buffers, word_spans
 
 BUCKETS = 1 << 18
 #: Word beginnings, in bytes, that are features besides the whole word.
 PREFIXES = (4, 5, 7)
-#: Most documents of each label to learn from, and most words of them all.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WORDS = 1500, 3000, 1_500_000
+#: Most documents of each label to learn from, and most characters of them all.
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 3000, 7_000_000
 #: A feature has to stand in so many documents of the sample.
 LEAST_DOCS = 5
 THRESHOLD = 0.7
@@ -95,22 +95,23 @@ def fit_noisy_or(
 ) -> ToxicityModel:
     """Fit on document labels by proximal gradient steps scaled per feature (RMS of past gradients)."""
     data, offsets = text_buffers(pa.array(texts, pa.large_string()))
-    parts, sentences, documents, n_sentences = [], [], [], 0
-    for a, b in runs(offsets):
-        buckets, sentence, rows, _ = sentence_features(data, offsets[a : b + 1])
-        parts.append(buckets)
-        sentences.append(sentence + n_sentences)
-        documents.append(rows + a)
+    features, sentences, documents, n_sentences = [], [], [], 0
+    in_docs = np.zeros(BUCKETS, np.int32)
+    for a, b in runs(offsets, 1 << 19):
+        buckets, of, rows, _ = sentence_features(data, offsets[a : b + 1])
+        # A feature counts once per sentence; rare features are left out below.
+        pairs = np.unique((np.repeat(of, buckets.shape[1]) << 18) | buckets.ravel())
+        sentence, feature = pairs >> 18, pairs & (BUCKETS - 1)
+        once = np.unique((rows[sentence] << 18) | feature) & (BUCKETS - 1)
+        in_docs += np.bincount(once, minlength=BUCKETS).astype(np.int32)
+        features.append(feature.astype(np.int32))
+        sentences.append((sentence + n_sentences).astype(np.int32))
+        documents.append((rows + a).astype(np.int32))
         n_sentences += len(rows)
-    buckets, sentence = np.concatenate(parts), np.concatenate(sentences)
-    document = np.concatenate(documents)
-    # A feature counts once per sentence; rare features are left out.
-    pairs = np.unique((np.repeat(sentence, buckets.shape[1]) << 18) | buckets.ravel())
-    sentence, feature = pairs >> 18, pairs & (BUCKETS - 1)
-    in_docs = np.unique((document[sentence] << 18) | feature) & (BUCKETS - 1)
-    common = np.bincount(in_docs, minlength=BUCKETS) >= LEAST_DOCS
-    keep = common[feature]
+    feature, sentence, document = map(np.concatenate, (features, sentences, documents))
+    keep = (in_docs >= LEAST_DOCS)[feature]
     sentence, feature = sentence[keep], feature[keep]
+    del features, sentences, documents, keep
     used, feature = np.unique(feature, return_inverse=True)
 
     y, c = labels.astype(bool), document_weights
@@ -139,7 +140,7 @@ def fit_toxicity_model(docs: DataFrame, labels: DataFrame, may_learn: Column, la
     """Learn from the rows of ``labels`` (``doc_id`` and a 0/1 label) where ``may_learn`` holds.
 
     Takes at most ``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` documents, in hash order, and of those as
-    many whole ones as stay within ``SAMPLE_WORDS`` words.
+    many whole ones as stay within ``SAMPLE_CHARS`` characters.
     """
     known = labels.where(may_learn & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     known = known.select("doc_id", F.col(label).cast("int").alias("__y"))
@@ -150,7 +151,7 @@ def fit_toxicity_model(docs: DataFrame, labels: DataFrame, may_learn: Column, la
     named = bounded_sample(known.where("__y = 1"), "doc_id", "__y", SAMPLE_TOXIC).unionByName(
         bounded_sample(known.where("__y = 0"), "doc_id", "__y", SAMPLE_CLEAN)
     )
-    table = sample_table(docs, named, SAMPLE_TOXIC + SAMPLE_CLEAN, SAMPLE_WORDS)
+    table = sample_table(docs, named, SAMPLE_TOXIC + SAMPLE_CLEAN, SAMPLE_CHARS)
     if not table.num_rows:
         return none
     y = np.asarray(table["__y"].to_pylist())
@@ -182,7 +183,7 @@ def _score(model: ToxicityModel, threshold: float):
 def score_toxicity(docs: DataFrame, model: ToxicityModel, held_out: Column, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row; one pass, no shuffle."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out"))
-    return rows.mapInArrow(_score(model, threshold), "doc_id long, held_out boolean, score double, predicted int")
+    return map_texts(rows, _score(model, threshold), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def _locate(model: ToxicityModel, threshold: float):
@@ -210,4 +211,4 @@ def _locate(model: ToxicityModel, threshold: float):
 def toxic_sentences(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
     """``doc_id, score, sentence`` of each sentence that scores ``threshold`` or more."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_locate(model, threshold), "doc_id long, score double, sentence string")
+    return map_texts(rows, _locate(model, threshold), "doc_id long, score double, sentence string")
