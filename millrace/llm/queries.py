@@ -168,3 +168,10 @@ def op6_source_mix(t: Tables) -> DataFrame:
     from millrace.llm.mixing import mix
 
     return mix(t.documents)
+
+
+@query()
+def op1_fingerprints(t: Tables) -> DataFrame:
+    from millrace.llm.fingerprints import fingerprint_edits
+
+    return fingerprint_edits(t.documents)
