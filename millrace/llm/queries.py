@@ -175,3 +175,34 @@ def op1_fingerprints(t: Tables) -> DataFrame:
     from millrace.llm.fingerprints import fingerprint_edits
 
     return fingerprint_edits(t.documents)
+
+
+@query(r"""
+    with rows as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all
+        select -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+    ), escaped as (
+        select *, length(regexp_replace(replace(text, '\', '\\'),
+            '(<)(/?s>|image>|audio>|document>|other>)|(\[)(/?INST\])', '\1\3\\\2\4', 'g')) as body,
+            length(regexp_replace(replace(role, '\', '\\'),
+            '(<)(/?s>|image>|audio>|document>|other>)|(\[)(/?INST\])|(\n)', '\1\3\5\\\2\4', 'g')) as head
+        from rows
+    )
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), ''))
+            as loss_sha256,
+        cast(sum(head + 1 + body + case when role = 'assistant' then 7 else 13 end) as bigint) as formatted_chars
+    from escaped group by conv_id
+""")
+def op9_chat_format(t: Tables) -> DataFrame:
+    from millrace.llm.chat import format_conversations, read_back
+
+    marks = t.spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = t.conversations.select("conv_id", "turn", "role", "text").unionByName(marks)
+    return read_back(format_conversations(turns))
