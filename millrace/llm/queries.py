@@ -206,3 +206,10 @@ def op9_chat_format(t: Tables) -> DataFrame:
     )
     turns = t.conversations.select("conv_id", "turn", "role", "text").unionByName(marks)
     return read_back(format_conversations(turns))
+
+
+@query()
+def op10_secret_scan(t: Tables) -> DataFrame:
+    from millrace.llm.secrets import scan_secrets
+
+    return scan_secrets(t.documents, path=F.col("source"))
