@@ -249,3 +249,19 @@ def judge_quality(docs: DataFrame, model: QualityModel, threshold: float = THRES
     """``doc_id, n_words, pattern, weak_good, score, kept`` of every row; one pass, no shuffle."""
     schema = "doc_id long, n_words long, pattern long, weak_good double, score double, kept boolean"
     return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), _judge(model, threshold), schema)
+
+
+def _keep(model: QualityModel, threshold: float, at: int):
+    def task(batches):
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(at))
+            parts = [model.score(data, offsets[a : b + 1]) for a, b in runs(offsets)]
+            if parts:
+                yield batch.filter(pa.array(np.concatenate(parts) >= threshold))
+
+    return task
+
+
+def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``judge_quality`` keeps; one pass, no join."""
+    return map_texts(docs, _keep(model, threshold, docs.columns.index("text")), docs.schema)

@@ -25,14 +25,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.sampling import bounded_sample
 from millrace.llm.textkit import map_texts, runs, text_buffers, word_spans
-from millrace.session import written
+from millrace.session import scratch_path, written
 
 #: Words of 3 to 8 letters the dictionary holds.
 DICTIONARY_WORDS = 20_000
@@ -242,7 +242,11 @@ def fit_forest(findings: DataFrame):
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="vector", labelCol="label", probabilityCol="probability"
     )
-    return forest.fit(rows.withColumn("vector", array_to_vector("features")))
+    model = forest.fit(rows.withColumn("vector", array_to_vector("features")))
+    # The fitted object holds its session through its summary and can't go into a task; the saved one can.
+    path = scratch_path(findings.sparkSession, "forest")
+    model.write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan_secrets(
@@ -282,3 +286,25 @@ def redacted_text(text: Column, spans: Column) -> Column:
     start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
     rest = lambda s: F.concat(s["done"], F.substring(text, s["at"] + 1, F.char_length(text)))
     return F.aggregate(F.array_sort(spans), start, cut, rest)
+
+
+def redact_secrets(docs: DataFrame, path: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with every secret replaced by ``REDACTED``; ``n_chars``, where there is one, follows the text.
+
+    Rows are found again by id and text hash, so rows that share an id keep their own findings.
+    """
+    mark = F.xxhash64("text")
+    # A text's own hash goes with its findings in place of the id: equal texts have equal findings.
+    found = scan_secrets(docs.withColumn("doc_id", mark), path=path, threshold=threshold)
+    spans = (
+        found.where("is_secret").select("doc_id", "start", "length").distinct()
+        .groupBy(F.col("doc_id").alias("__text")).agg(F.collect_list(F.struct("start", "length")).alias("__spans"))
+    )
+    joined = docs.join(spans, mark == F.col("__text"), "left")
+    text = F.when(F.col("__spans").isNotNull(), redacted_text(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
+    columns = {"text": text}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col("__spans").isNotNull(), F.char_length(text)).otherwise(F.col("n_chars")).cast(
+            docs.schema["n_chars"].dataType
+        )
+    return joined.withColumns(columns).select(docs.columns)
