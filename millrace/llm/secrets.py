@@ -302,9 +302,9 @@ def redact_secrets(docs: DataFrame, path: Column | None = None, threshold: float
     )
     joined = docs.join(spans, mark == F.col("__text"), "left")
     text = F.when(F.col("__spans").isNotNull(), redacted_text(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
-    columns = {"text": text}
+    joined = joined.withColumn("__new", text)
+    columns = {"text": F.col("__new")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("__spans").isNotNull(), F.char_length(text)).otherwise(F.col("n_chars")).cast(
-            docs.schema["n_chars"].dataType
-        )
+        n = F.when(F.col("__spans").isNotNull(), F.char_length("__new")).otherwise(F.col("n_chars"))
+        columns["n_chars"] = n.cast(docs.schema["n_chars"].dataType)
     return joined.withColumns(columns).select(docs.columns)
