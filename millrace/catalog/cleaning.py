@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog import standins as st
-from millrace.catalog.registry import query, r, rounded
+from millrace.catalog.registry import exact_mean_sql, query, r, rounded
 from millrace.operators import cleaning as op
 
 _WEATHER = ["air_temperature", "dew_temperature", "sea_level_pressure", "wind_direction", "wind_speed"]
@@ -74,10 +74,10 @@ def _(t):
     f"""with {st.WEATHER}, dated as (select *, {_WEEK} as week, hour(ts) as hr from weather)
     select site_id, strftime(ts, '%Y-%m-%d %H') as hour_text, """
     + ", ".join(
-        f"round(coalesce({c}, avg({c}) over (partition by site_id, week, hr)), 6) as {c}" for c in _HOURLY
+        f"round(coalesce({c}, {exact_mean_sql(c, 'partition by site_id, week, hr')}), 6) as {c}" for c in _HOURLY
     )
     + ", "
-    + ", ".join(f"round(coalesce({c}, avg({c}) over (partition by site_id, week)), 6) as {c}" for c in _WEEKLY)
+    + ", ".join(f"round(coalesce({c}, {exact_mean_sql(c, 'partition by site_id, week')}), 6) as {c}" for c in _WEEKLY)
     + " from dated",
 )
 def _(t):

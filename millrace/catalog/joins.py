@@ -78,16 +78,16 @@ def _(t):
 # Interest per customer and year of order, wide, as the interest tables are.
 _YEARS = list(range(1995, 2002))
 _WIDE = (
-    "wide as (select o_custkey as speaker_id, "
+    "wide as (select o_custkey + 50 as speaker_id, "
     + ", ".join(f"coalesce(sum(o_totalprice) filter (year(o_orderdate) = {y}), 0) as y{y}" for y in _YEARS)
-    + " from orders where o_orderpriority <> '5-LOW' group by 1)"
+    + " from orders group by 1)"
 )
 _MEAN = "(" + " + ".join(f"y{y}" for y in _YEARS) + f") / {len(_YEARS)}.0"
 
 
 def _wide(t):
     year = F.year("o_orderdate")
-    return t.orders.where("o_orderpriority <> '5-LOW'").groupBy(F.col("o_custkey").alias("speaker_id")).agg(
+    return t.orders.groupBy((F.col("o_custkey") + 50).alias("speaker_id")).agg(
         *[F.coalesce(F.sum(F.when(year == y, F.col("o_totalprice"))), F.lit(0.0)).alias(f"y{y}") for y in _YEARS]
     )
 
@@ -108,14 +108,16 @@ def _(t):
 @query(
     "J7_list_trend",
     """with words as (select p_partkey, unnest(string_split(p_name, ' ')) as word, p_size from part),
-    trends as (select word, avg(p_size) as trend from words where word <> 'ring' group by 1)
+    trends as (select case word when 'ring' then 'no such tag' else word end as word, avg(p_size) as trend
+      from words group by 1)
     select p_partkey, round(avg(trend), 6) as tags_trend
     from (select p_partkey, unnest(string_split(p_name, ' ')) as word from part) left join trends using (word)
     group by 1""",
 )
 def _(t):
     parts = t.part.select("p_partkey", F.split("p_name", " ").alias("tags"), "p_size")
-    words = parts.select(F.explode("tags").alias("word"), "p_size").where("word <> 'ring'")
+    words = parts.select(F.explode("tags").alias("word"), "p_size")
+    words = words.withColumn("word", F.when(F.col("word") == "ring", "no such tag").otherwise(F.col("word")))
     trends = words.groupBy("word").agg(F.avg("p_size").alias("trend"))
     found = op.list_trend(parts, trends, "p_partkey", "tags", "word", "tags_trend")
     return found.select("p_partkey", r("tags_trend").alias("tags_trend"))

@@ -1,6 +1,8 @@
 """L1-L7, L12, L20-L28 and E8. Learners differ from one engine to the next, so these have no SQL
 check; ``tests/test_learners.py`` holds what must be true of them."""
 
+from itertools import product
+
 from pyspark.sql import functions as F
 
 from millrace.catalog import standins as st
@@ -13,6 +15,8 @@ from millrace.operators.ranking import hash_split, stratified_folds, stratified_
 from millrace.operators.stats import category_counts
 from millrace.session import written
 
+# Penalty strengths of the search.
+_STRENGTHS = (0.1, 0.01, 0.001, 0.0001)
 _MEASURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 _CREDIT = ["credit_limit", "sex", "education", "status", "age", "missed_payments", "avg_ba", "avg_pa"]
 
@@ -52,7 +56,7 @@ def _(t):
     train, valid = split_lines(t)
     models = {
         f"{p}:{s}": op.linear_regression(p, s)
-        for p, s in (("none", 0.0), ("l1", 0.1), ("l2", 0.1), ("l2", 1.0))
+        for p, s in [("none", 0.0), *product(("l1", "l2"), _STRENGTHS)]
     }
     return op.validation_sweep(train, valid, models)
 
@@ -60,7 +64,7 @@ def _(t):
 @query("L2_decision_tree_regressor")
 def _(t):
     train, valid = split_lines(t)
-    model = op.tree_regressor(10).fit(train)
+    model = op.tree_regressor(22).fit(train)
     scored = op.scores(model, valid, "label", "prediction")
     return metrics.log_errors(scored.withColumn("prediction", clip_negative("prediction")))
 
@@ -68,7 +72,7 @@ def _(t):
 @query("L3_random_forest_regressor")
 def _(t):
     train, valid = split_lines(t)
-    scored = op.scores(op.forest_regressor(12).fit(train), valid, "row_id", "label", "prediction")
+    scored = op.scores(op.forest_regressor(22).fit(train), valid, "row_id", "label", "prediction")
     return scored.withColumn("prediction", clip_negative("prediction")).select("row_id", residual("prediction", "label").alias("residual"))
 
 
@@ -90,7 +94,7 @@ def _(t):
 @query("L6_kmeans")
 def _(t):
     rows = placed_customers(t)
-    model = op.kmeans_best(rows, 9, starts=3)
+    model = op.kmeans_best(rows, 9, starts=10)
     return category_counts(op.scores(model, rows, "client_id", "prediction"), "prediction")
 
 

@@ -38,6 +38,25 @@ def _(t):
     )
 
 
+@query(
+    "W2_lagged_by_ranges",
+    f"""with {st.READINGS}
+    select building_id, meter, strftime(ts, '%Y-%m-%d %H') as hour_text, meter_reading,
+           lag(meter_reading, 1) over w as previous, lag(meter_reading, 2) over w as before_previous
+    from readings window w as (partition by building_id, meter, dayname(ts) order by ts)""",
+)
+def _(t):
+    rows = st.readings(t).withColumn("day_of_week", F.dayofweek("timestamp"))
+    lagged = lags(
+        rows, ["building_id", "meter", "day_of_week"], ["timestamp"], "meter_reading",
+        {1: "previous", 2: "before_previous"}, hot_rows=0,
+    )
+    return lagged.select(
+        "building_id", "meter", F.date_format("timestamp", "yyyy-MM-dd HH").alias("hour_text"),
+        "meter_reading", "previous", "before_previous",
+    )
+
+
 @query(
     "W2_lag_across_buildings",
     f"""with {st.READINGS}
@@ -107,6 +126,16 @@ def _(t):
     return op.equal_count_classes(rows, "o_totalprice", 3, "price_class").drop("o_totalprice")
 
 
+@query(
+    "W4_thirds_by_ranges",
+    _THIRDS + """ select o_orderkey, case when o_totalprice >= c2 then 2 when o_totalprice >= c1 then 1 else 0 end
+                  as price_class from orders, cuts""",
+)
+def _(t):
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    return op.equal_count_classes(rows, "o_totalprice", 3, "price_class", hot_rows=0).drop("o_totalprice")
+
+
 @query(
     "W5_fixed_threshold_class",
     """select c_custkey, case when c_acctbal >= 6000 then 2 when c_acctbal >= 1500 then 1 else 0 end as balance_class

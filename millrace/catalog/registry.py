@@ -34,3 +34,11 @@ def r(col: Column | str, digits: int = 6) -> Column:
 
 def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+
+
+def exact_mean_sql(col: str, over: str) -> str:
+    """The mean over a window from a whole-number sum, as ``cleaning.exact_mean`` takes it."""
+    return (
+        f"cast(sum(cast(round({col} * 1000000.0) as bigint)) over ({over}) as double)"
+        f" / nullif(count({col}) over ({over}), 0) / 1000000.0"
+    )

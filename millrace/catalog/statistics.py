@@ -136,6 +136,20 @@ def _(t):
     return found.select("event_type", r(F.col("value")[0]).alias("median_value"))
 
 
+@query(
+    "A12_median_by_ranges",
+    """select event_type, round(quantile_cont(case when event_type <> 'error' then value end, 0.5), 6) as median_value
+       from events group by 1""",
+)
+def _(t):
+    """The way for groups of any size, with a group that has nulls only."""
+    from millrace.operators.ordered import quantiles
+
+    rows = t.events.select("event_type", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    found = quantiles(rows, ["value"], [0.5], ["event_type"], hot_rows=0)
+    return found.select("event_type", r(F.col("value")[0]).alias("median_value"))
+
+
 @query(
     "A13_quantiles",
     """select round(quantile_cont(o_totalprice, 0.05), 6) as p05, round(quantile_cont(o_totalprice, 0.25), 6) as p25,
@@ -345,8 +359,9 @@ def _(t):
     timed as (select *, (epoch(ts) - min(epoch(ts)) over (partition by site_id)) / 3600.0 as x from weather)
     select * from ("""
     + " union all ".join(
-        f"""select site_id, '{c}' as column_name, count({c}) as n, round(regr_slope({c}, x), 6) as slope,
-            round(regr_intercept({c}, x), 6) as intercept, round(regr_r2({c}, x), 6) as r2 from timed group by 1"""
+        f"""select site_id, '{c}' as column_name, count({c}) as n, case when count({c}) > 1 then round(regr_slope({c}, x), 6) end as slope,
+            case when count({c}) > 1 then round(regr_intercept({c}, x), 6) end as intercept,
+            case when count({c}) > 1 then round(regr_r2({c}, x), 6) end as r2 from timed group by 1"""
         for c in _NUMBERS
     )
     + ")",

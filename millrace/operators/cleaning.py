@@ -37,8 +37,18 @@ def fill_constant(df: DataFrame, values: dict) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
 
 
-def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    means = df.agg(*[F.avg(c).alias(c) for c in cols])
+def exact_mean(col: str, digits: int = 6) -> Column:
+    """The mean of a column of at most ``digits`` decimals, from a whole-number sum.
+
+    The order in which rows are added can't change it, so it also rounds alike everywhere.
+    """
+    unit = float(10**digits)
+    total = F.sum(F.round(F.col(col) * unit).cast("long"))
+    return F.try_divide(total, F.count(col)) / F.lit(unit)
+
+
+def fill_mean(df: DataFrame, cols: Sequence[str], mean=F.avg) -> DataFrame:
+    means = df.agg(*[mean(c).alias(c) for c in cols])
     return df.withColumns({c: F.coalesce(F.col(c), means.select(c).scalar()) for c in cols})
 
 
@@ -103,20 +113,19 @@ def drop_every_copy(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
 def later_copies(df: DataFrame, cols: Sequence[str], row_key: str) -> DataFrame:
     """Rows that repeat an earlier row (all but the lowest ``row_key`` of equal rows).
 
-    Copies are combined before the shuffle, so many copies of one content are one row there.
-    The join is spread by a digest and compares the content itself.
+    Rows are counted by a 256-bit digest of their content, so the content itself is moved once, and only to
+    meet the digests that repeat. Copies are combined before the shuffle.
     """
-    digest = F.xxhash64(*[F.col(c) for c in cols])
+    # A field that is null is left out of the text, so null and empty differ.
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
     tagged = df.withColumn("__digest", digest)
     firsts = (
-        tagged.groupBy("__digest", *cols)
+        tagged.groupBy(F.col("__digest").alias("__copy"))
         .agg(F.min(row_key).alias("__first"), F.count(F.lit(1)).alias("__n"))
-        .where("__n > 1")
-        .select("__digest", "__first", *[F.col(c).alias(f"__c_{c}") for c in cols])
+        .where("__n > 1").drop("__n")
     )
-    cond = same_keys([(tagged[c], firsts[f"__c_{c}"]) for c in cols])
-    joined = tagged.join(firsts, (tagged["__digest"] == firsts["__digest"]) & cond)
-    return joined.where(F.col(row_key) > F.col("__first")).select(*[tagged[c] for c in df.columns])
+    joined = tagged.join(firsts, (F.col("__digest") == F.col("__copy")) & (F.col(row_key) > F.col("__first")))
+    return joined.select(*[tagged[c] for c in df.columns])
 
 
 def outlier_counts(df: DataFrame, cols: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:

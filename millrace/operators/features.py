@@ -43,7 +43,9 @@ def with_codes(df: DataFrame, attr: str, name: str | None = None) -> DataFrame:
 
 def cardinalities(df: DataFrame, attrs: Sequence[str]) -> DataFrame:
     """``attr, n_categories``, for the bin limit of tree learners."""
-    return category_codes(df, attrs).groupBy("attr").agg(F.count(F.lit(1)).alias("n_categories"))
+    counts = df.agg(*[F.countDistinct(F.col(a).cast("string")).alias(f"n{i}") for i, a in enumerate(attrs)])
+    cells = [F.struct(F.lit(a).alias("attr"), F.col(f"n{i}").alias("n_categories")) for i, a in enumerate(attrs)]
+    return counts.select(F.inline(F.array(*cells)))
 
 
 def min_max(df: DataFrame, cols: Sequence[str], suffix: str = "_sc", constant: float | None = 0.0) -> DataFrame:

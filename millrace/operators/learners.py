@@ -17,15 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import clip_negative, hashed_class, squared_log_error
-from millrace.session import written
+from millrace.session import scratch_path, written
 
-# The deepest tree the learner accepts; a larger or missing depth means this one.
+# The deepest tree the learner accepts; a missing depth means this one.
 DEEPEST = 30
 PENALTIES = {"none": 0.0, "l1": 1.0, "l2": 0.0}
 
 
 def tree_depth(depth: int | None) -> int:
-    return DEEPEST if depth is None else min(depth, DEEPEST)
+    if depth is not None and depth > DEEPEST:
+        raise ValueError(f"the deepest tree is {DEEPEST}, not {depth}; None asks for that one")
+    return DEEPEST if depth is None else depth
 
 
 def linear_regression(penalty: str = "none", strength: float = 0.0, **params) -> LinearRegression:
@@ -81,9 +83,19 @@ class kept:
 
 
 def scores(model: Model, df: DataFrame, *cols: str) -> DataFrame:
-    """``cols`` of the scored rows, stored once: later steps read them without the model, which
-    may be gone by then, and do not predict again."""
-    return written(model.transform(df).select(*cols), "scores")
+    """``cols`` of the scored rows, stored once, so that later steps do not predict again."""
+    return written(portable(model, df).transform(df).select(*cols), "scores")
+
+
+def portable(model: Model, df: DataFrame) -> Model:
+    """The model as saved and loaded again.
+
+    A model fresh from ``fit`` holds its session through its summary, and where it lands in a filter that is
+    sent to the tasks it can't be serialised.
+    """
+    path = scratch_path(df.sparkSession, "model")
+    model.write().save(path)
+    return type(model).load(path)
 
 
 # --- clustering --------------------------------------------------------------------------

@@ -142,7 +142,14 @@ def quantiles(
             F.col(f"__lo{i}") * (1 - F.col(f"__frac{i}")) + F.col(f"__hi{i}") * F.col(f"__frac{i}")
             for i in range(len(probs))
         ]
-        one = found.select(*by, F.array(*values).alias(col))
+        one = found.select(*by, F.when(F.col("__frac0").isNotNull(), F.array(*values)).alias(col))
+        if by:
+            # A group without a value stays, with null, as it does in the built-in.
+            groups = df.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(by)]).distinct()
+            held = same_keys([(groups[f"__g{i}"], one[k]) for i, k in enumerate(by)])
+            one = groups.join(one, held, "left").select(
+                *[F.col(f"__g{i}").alias(k) for i, k in enumerate(by)], col
+            )
         if result is None:
             result = one
         elif by:

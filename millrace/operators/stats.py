@@ -226,14 +226,20 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), hot_rows: int = H
 
 
 def trend_slopes(df: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str]) -> DataFrame:
-    """Straight-line trend per group and column; x is hours since the group's first row."""
+    """Straight-line trend per group and column; x is hours since the group's first row.
+
+    Fewer than two values, or two at one time only, have no slope, intercept and fit: null. Values that are
+    all alike are fitted by a level line, whose fit is 1.
+    """
     timed = with_group_stats(df, by, F.min(F.unix_seconds(ts)).alias("__start"))
     x = (F.unix_seconds(F.col(ts)) - F.col("__start")) / 3600.0
     timed = timed.withColumn("__x", x)
     sums = timed.groupBy(*by).agg(
-        *[F.regr_slope(F.col(c), F.col("__x")).alias(f"s{i}") for i, c in enumerate(cols)],
-        *[F.regr_intercept(F.col(c), F.col("__x")).alias(f"i{i}") for i, c in enumerate(cols)],
-        *[F.regr_r2(F.col(c), F.col("__x")).alias(f"r{i}") for i, c in enumerate(cols)],
+        *[
+            F.when(F.count(c) > 1, fit(F.col(c), F.col("__x"))).alias(f"{tag}{i}")
+            for tag, fit in (("s", F.regr_slope), ("i", F.regr_intercept), ("r", F.regr_r2))
+            for i, c in enumerate(cols)
+        ],
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
     )
     cells = [

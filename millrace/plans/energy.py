@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import week_of_month, weekday_name
-from millrace.operators.cleaning import fill_constant, fill_mean
+from millrace.operators.cleaning import exact_mean, fill_constant, fill_mean
 from millrace.operators.lookups import with_dimension
 from millrace.operators.ordered import HOT_ROWS, lags, with_group_stats
+from millrace.session import written
 
 CATEGORIES = ["quarter", "day_of_week", "primary_use", "meter"]
 NUMBERS = [
@@ -35,10 +36,10 @@ def dated(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 def fill_weather(df: DataFrame) -> DataFrame:
     """Temperatures by (site, week, hour) mean, the rest by (site, week) mean."""
-    stats = [F.avg(c).alias(f"__m_{c}") for c in HOURLY_MEANS]
+    stats = [exact_mean(c).alias(f"__m_{c}") for c in HOURLY_MEANS]
     hourly = with_group_stats(df, ["site_id", "week", "hour"], *stats)
     weekly = with_group_stats(
-        hourly, ["site_id", "week"], *[F.avg(c).alias(f"__m_{c}") for c in WEEKLY_MEANS]
+        hourly, ["site_id", "week"], *[exact_mean(c).alias(f"__m_{c}") for c in WEEKLY_MEANS]
     )
     measures = [*HOURLY_MEANS, *WEEKLY_MEANS]
     return weekly.withColumns({c: F.coalesce(F.col(c), F.col(f"__m_{c}")) for c in measures}).drop(
@@ -60,7 +61,9 @@ def prepare(
     the order ``["building_id", "meter", "timestamp"]`` gives the form where a neighbour's
     reading can stand in at a border. Filtering before the lag would change it, so it is last.
     """
-    sky = fill_mean(fill_weather(dated(weather)), [*HOURLY_MEANS, *WEEKLY_MEANS])
+    # Each table that is read more than once is worked out once.
+    sky = written(fill_weather(written(dated(weather), "weather")), "sky")
+    sky = fill_mean(sky, [*HOURLY_MEANS, *WEEKLY_MEANS])
     facts = with_dimension(readings, buildings, "building_id")
     joined = with_dimension(facts, sky, ["timestamp", "site_id"])
     names = {1: "prev1week_meter_reading", 2: "prev2week_meter_reading"}

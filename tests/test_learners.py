@@ -27,7 +27,9 @@ def test_penalties(spark):
 
 
 def test_depth_is_bounded():
-    assert [learners.tree_depth(d) for d in (None, 110, 5)] == [30, 30, 5]
+    assert [learners.tree_depth(d) for d in (None, 30, 5)] == [30, 30, 5]
+    with pytest.raises(ValueError):
+        learners.tree_depth(110)
 
 
 def test_importances_and_rules(classed):

@@ -17,7 +17,7 @@ def rows(spark):
         group = "hot" if rng.random() < 0.6 else rng.choice(["a", "b", None])
         value = rng.choice([1.5, 1.5, 2.0, rng.uniform(0, 10), None])
         data.append((i, group, value))
-    data.append((600, "single", 3.0))
+    data += [(600, "single", 3.0), (601, "void", None), (602, "void", None)]
     return spark.createDataFrame(data, "id int, g string, x double").repartition(5).cache()
 
 
@@ -33,11 +33,16 @@ def same(a, b):
 def test_quantiles(rows, by):
     flat = lambda d: d.select(*by, *[F.round(F.col("x")[i], 9).alias(f"q{i}") for i in range(3)])
     probs = [0.1, 0.5, 0.77]
-    kept = rows.where("g is null or g <> 'b' or x is not null")
-    same(
-        flat(ordered.quantiles(kept, ["x"], probs, by)),
-        flat(ordered.quantiles(kept, ["x"], probs, by, hot_rows=0)),
-    )
+    same(flat(ordered.quantiles(rows, ["x"], probs, by)), flat(ordered.quantiles(rows, ["x"], probs, by, hot_rows=0)))
+
+
+def test_groups_of_nulls_stay(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None), ("b", None), (None, None)], "g string, v double")
+    for hot in (0, 10):
+        got = {r.g: r.v for r in ordered.quantiles(rows, ["v"], [0.5], ["g"], hot_rows=hot).collect()}
+        assert got == {"a": [1.5], "b": None, None: None}
+        none = ordered.quantiles(rows.where("g = 'b'"), ["v"], [0.5], hot_rows=hot).collect()
+        assert [r.v for r in none] == [None]
 
 
 def test_quantiles_of_two_columns(rows):
@@ -120,8 +125,8 @@ def test_ranks_keep_all_ties(spark):
 
 
 def test_statistics_over_ranges(rows):
-    kept = rows.where("x is not null and g is not null")
-    same(stats.describe(kept, ["x"], ["g"]), stats.describe(kept, ["x"], ["g"], hot_rows=0))
-    same(stats.box_stats(kept, "x"), stats.box_stats(kept, "x", hot_rows=0))
+    same(stats.describe(rows, ["x"], ["g"]), stats.describe(rows, ["x"], ["g"], hot_rows=0))
+    same(stats.box_stats(rows, "x"), stats.box_stats(rows, "x", hot_rows=0))
+    same(stats.box_stats(rows, "x", ["g"]), stats.box_stats(rows, "x", ["g"], hot_rows=0))
     same(stats.spearman(rows, "x", "id"), stats.spearman(rows, "x", "id", hot_rows=0))
     same(quantile_codes(rows, ["x"], 8), quantile_codes(rows, ["x"], 8, hot_rows=0))
