@@ -7,11 +7,12 @@ every coordinate is filled; most documents need a few rounds. Coordinates agree
 the Jaccard similarity. Bands of coordinates are bucketed, and pairs are confirmed on full sets.
 
 Equal sets are one node, known by its smallest id, so groups of copies are one row in all that
-follows. In a bucket, all nodes are first confirmed against the smallest one. Then only pairs of
-different components are left, and of those only such as the measured distances to that one node
-allow (Jaccard distance obeys the triangle inequality). The rest is taken up leader by leader,
-smallest components first, until no bucket holds an unconfirmed pair of different components. So
-no link is lost in a bucket, and no group is spread into all its pairs.
+follows. In a bucket, all nodes are first confirmed against the smallest one. Where a bucket still holds several
+components, its nodes are bucketed anew by the rarest shingles of their sets: two sets of the wanted
+similarity share one of those (prefix filtering, exact under any common order of shingles). Nodes
+that differ too much share none, so hot groups fall apart. These buckets are worked off leader by
+leader, smallest components first, until none holds an unconfirmed pair of different components. So no
+link between nodes that met in a bucket is lost, and no group is spread into all its pairs.
 
 Null, empty and blank texts have an empty set and are linked with nothing. With fewer words than a
 shingle takes, the whole sequence is one shingle. Rows with the same id count as one document
@@ -39,6 +40,8 @@ BAND = 6
 MISS = 1e-6
 #: Leaders per bucket and round once the smallest node of each bucket is dealt with.
 LEADERS = 32
+#: Counters that tell rare shingles from frequent ones; they only order shingles, so collisions lose nothing.
+COUNTERS = 1 << 18
 #: Shingles that are compared with one copy of a leader's set, before another task takes over.
 SHARE = 4_000_000
 #: Up to so many rows of 24 bytes, the list of documents to fetch is broadcast; beyond, it is joined by shuffle.
@@ -150,6 +153,12 @@ def _compare(size: int):
     return task
 
 
+def _texts_of(docs: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
+    """``docs`` joined with ``wanted`` on ``id``; that is broadcast only if it has few rows."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    return texts.join(F.broadcast(wanted) if rows <= FEW else wanted, "id")
+
+
 def compared(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """``a, b, shared, either``: sizes of intersection and union of the full sets of each pair.
 
@@ -164,23 +173,108 @@ def compared(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
         spread.select("a", "part").distinct().select("a", "part", F.lit(0).alias("role"), F.col("a").alias("id"))
     )
     wanted, seen = written_counting(wanted, "wanted", n=F.count(F.lit(1)))
-    if seen["n"] <= FEW:
-        wanted = F.broadcast(wanted)
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id")
-    rows = rows.select("a", "part", "role", "id", "text").repartition("a", "part").sortWithinPartitions("a", "part", "role")
+    rows = _texts_of(docs, wanted, seen["n"]).select("a", "part", "role", "id", "text")
+    rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", "role")
     return written(map_texts(rows, _compare(size), "a long, b long, shared long, either long"), "compared")
 
 
-def _labelled(slots: DataFrame, links: DataFrame) -> DataFrame:
-    """Slots with their component, where a bucket still holds several."""
-    roots = component_roots(links)
-    named = slots.drop("comp").join(roots, slots["id"] == roots["node"], "left")
-    named = named.withColumn("comp", F.coalesce("root", "id")).drop("node", "root")
-    mixed_up = (
-        named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-        .where("x <> y").select("bucket")
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(46)).astype(np.int64)
+
+
+def _frequencies(size: int):
+    def task(batches):
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for _, sets in _sets_of(batch.column(1), size):
+                counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["counter", "n"])
+
+    return task
+
+
+def _prefixes(size: int, counts: np.ndarray, part: int, whole: int):
+    def task(batches):
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            keys, rows, sizes = [], [], []
+            for a, sets in _sets_of(batch.column(1), size):
+                for k, s in enumerate(sets, a):
+                    order = np.lexsort((s, counts[_counter(s)]))
+                    first = s[order[: len(s) - (-(-part * len(s) // whole)) + 1]]
+                    keys.append(first)
+                    rows += [ids[k]] * len(first)
+                    sizes += [len(s)] * len(first)
+            flat = signed(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat), pa.array(rows, pa.int64()), pa.array(sizes, pa.int64())], ["bucket", "id", "n"]
+            )
+
+    return task
+
+
+def rare_shingles(docs: DataFrame, ids: DataFrame, size: int, part: int, whole: int) -> DataFrame:
+    """``bucket, id, n``: the shingles of each named document that come first when rare ones do, so many that
+    two sets linked have one in common."""
+    ids, seen = written_counting(ids, "ids", n=F.count(F.lit(1)))
+    texts = _texts_of(docs, ids, seen["n"]).select("id", "text")
+    found = (
+        map_texts(texts, _frequencies(size), "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
     )
-    return named.join(mixed_up, "bucket")
+    counts = np.zeros(COUNTERS, np.int64)  # at most COUNTERS rows came
+    counts[np.asarray(found["counter"])] = np.asarray(found["n"])
+    return map_texts(texts, _prefixes(size, counts, part, whole), "bucket long, id long, n long")
+
+
+def _component_roots(links: DataFrame) -> DataFrame:
+    """``node, root`` of all nodes of ``links`` (``a, b``).
+
+    First each node hangs on its smallest partner only; the other links then run between few components.
+    """
+    hooks = links.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = written(component_roots(hooks), "hooks")
+    of = lambda side: first.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+    over = (
+        links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        .select(F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y")).where("x <> y")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    )
+    second = component_roots(written(over, "over")).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = first.join(second, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return written(moved, "roots")
+
+
+def _named(slots: DataFrame, roots: DataFrame) -> DataFrame:
+    """``bucket, id, n, comp`` of the buckets that hold several components."""
+    named = slots.select("bucket", "id", "n").join(roots, F.col("id") == F.col("node"), "left")
+    named = named.select("bucket", "id", "n", F.coalesce("root", "id").alias("comp"))
+    several = (
+        named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+    )
+    return named.join(several, "bucket")
+
+
+def _cross_pairs(left: DataFrame, part: int, whole: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a leader and a node of another component, and the slots that are left without the leaders."""
+    held = left.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("held"))
+    order = W.partitionBy("bucket").orderBy("held", "comp", "id")
+    leaders = written(
+        left.join(held, ["bucket", "comp"]).withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= LEADERS)
+        .select("bucket", *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "comp", "place")]),
+        "leaders",
+    )
+    places = leaders.select("bucket", F.col("l_id").alias("id"), "l_place").groupBy("bucket", "id").agg(
+        F.min("l_place").alias("place")
+    )
+    # A pair of two leaders is taken once; other slots stand behind every leader.
+    met = left.join(places, ["bucket", "id"], "left").join(leaders, "bucket").where(
+        (F.col("comp") != F.col("l_comp")) & (F.coalesce("place", F.lit(LEADERS + 1)) > F.col("l_place"))
+        & (whole * F.least("n", "l_n") >= part * F.greatest("n", "l_n"))
+    )
+    pairs = met.groupBy(F.least("id", "l_id").alias("a"), F.greatest("id", "l_id").alias("b")).agg(F.max("n").alias("nb"))
+    return pairs, left.join(places.drop("place"), ["bucket", "id"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
@@ -189,8 +283,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, part: int = 80, whole: int =
     Two documents are linked if ``whole * shared >= part * either`` for their sets of ``size``-word
     shingles. A component is named by its smallest id, and that document is kept.
     """
-    similarity = part / whole
-    t = bands_for(similarity) * BAND
+    t = bands_for(part / whole) * BAND
     profile = written(
         map_texts(
             docs.select(F.col("doc_id").cast("long"), "text"), _profile(size, t),
@@ -215,41 +308,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, part: int = 80, whole: int =
     tested = compared(docs, pairs, size)
     linked = F.expr(f"{whole} * shared >= {part} * either")
     # Rows with one id are one node, whatever their texts.
-    same = members.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links = tested.where(linked).select("a", "b")
+    same = members.where("doc_id <> rep and rep is not null").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    links = tested.where(linked).select("a", "b").unionByName(same)
+    roots = _component_roots(links)
 
-    # How far each slot is from the first leader of its bucket.
-    away = tested.groupBy(F.col("a").alias("low"), F.col("b").alias("id")).agg(
-        (1 - F.max(F.col("shared") / F.col("either"))).alias("away")
-    )
-    slots = slots.join(away, ["low", "id"], "left").withColumn("away", F.coalesce("away", F.lit(0.0)))
-    left, seen = written_counting(_labelled(slots, links.unionByName(same)), "left", n=F.count(F.lit(1)))
-    reach = 1 - similarity + 1e-9
+    ids = _named(slots, roots).select("id").distinct()
+    left, seen = written_counting(_named(rare_shingles(docs, ids, size, part, whole), roots), "left", n=F.count(F.lit(1)))
     while seen["n"]:
-        held = left.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("held"))
-        order = W.partitionBy("bucket").orderBy("held", "comp", "id", "n")
-        leaders = (
-            left.join(held, ["bucket", "comp"]).withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= LEADERS)
-            .select("bucket", *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "comp", "away", "place")])
-        )
-        # A pair of two leaders is taken once; other slots stand behind every leader.
-        ranks = leaders.select("bucket", F.col("l_id").alias("id"), F.col("l_place").alias("place")).groupBy("bucket", "id").agg(F.min("place").alias("place"))
-        ranked = left.join(ranks, ["bucket", "id"], "left")
-        met = ranked.join(leaders, "bucket").where(
-            (F.col("comp") != F.col("l_comp")) & (F.coalesce("place", F.lit(LEADERS + 1)) > F.col("l_place"))
-            & (F.abs(F.col("away") - F.col("l_away")) <= reach)
-            & (whole * F.least("n", "l_n") >= part * F.greatest("n", "l_n"))
-        )
-        pairs = met.groupBy(F.least("id", "l_id").alias("a"), F.greatest("id", "l_id").alias("b")).agg(F.max("n").alias("nb"))
+        pairs, rest = _cross_pairs(left, part, whole)
         pairs = pairs.join(tested.select("a", "b").distinct(), ["a", "b"], "left_anti")
         more = compared(docs, pairs, size)
         tested = tested.unionByName(more)
         links = links.unionByName(more.where(linked).select("a", "b"))
-        rest = left.join(leaders.select("bucket", F.col("l_id").alias("id")), ["bucket", "id"], "left_anti")
-        left, seen = written_counting(_labelled(rest, links.unionByName(same)), "left", n=F.count(F.lit(1)))
+        roots = _component_roots(links)
+        left, seen = written_counting(_named(rest, roots), "left", n=F.count(F.lit(1)))
 
-    roots = component_roots(links.unionByName(same))
     parts = (
         members.join(roots, members["doc_id"] == roots["node"], "left")
         .groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("component_id"))
