@@ -17,6 +17,7 @@ from millrace.functions.scalar import (
 from millrace.operators.cleaning import fill_group_mode, fill_mode, replace_invalid
 from millrace.operators.features import quantile_codes
 from millrace.operators.rules import row_baskets
+from millrace.session import written
 
 FEATURES = [
     "credit_limit", "sex", "education", "status", "age", "avg_debt", "missed_payments", "avg_expense",
@@ -42,8 +43,9 @@ def coded(df: DataFrame) -> DataFrame:
 def filled(df: DataFrame) -> DataFrame:
     """Sex and education by table mode, status by mode of (education, sex) or else of the
     table, age by mean of the valid ages of the same sex and status."""
-    df = fill_group_mode(fill_mode(fill_mode(df, "sex"), "education"), "status", ["education", "sex"])
-    df = fill_mode(df, "status")
+    # Stored twice: the modes of later columns would else work out those of earlier ones again.
+    df = written(fill_mode(fill_mode(written(df, "coded"), "sex"), "education"), "two_filled")
+    df = fill_mode(written(fill_group_mode(df, "status", ["education", "sex"]), "three_filled"), "status")
     df = df.withColumn("sex_status", sex_status())
     return replace_invalid(df, "age", F.col("age") >= vocab.YOUNGEST_VALID_AGE, ["sex_status"])
 

@@ -23,6 +23,7 @@ from millrace.functions.scalar import (
 from millrace.operators.cleaning import drop_every_copy, fill_mode
 from millrace.operators.lookups import list_trend, lookup_trend, outer_filled, trend_table
 from millrace.operators.ranking import equal_count_classes
+from millrace.session import written
 
 FLAGS = [
     *vocab.OCCUPATION_GROUPS, vocab.OTHER_OCCUPATIONS, *vocab.WEEKDAYS, "TEDx", "TED", "TED_Global",
@@ -37,7 +38,8 @@ def _within_range(df: DataFrame, col: str):
 
 def scored(talks: DataFrame) -> DataFrame:
     """Adds ``ratings_count`` and ``popularity``, the mean of three scaled counts."""
-    counted = talks.withColumn("ratings_count", field_sum(parse_ratings("ratings")))
+    # Stored: the bounds of three columns and the rows themselves are read from it.
+    counted = written(talks.withColumn("ratings_count", field_sum(parse_ratings("ratings"))), "counted")
     parts = [_within_range(counted, c) for c in ("views", "comments", "ratings_count")]
     return counted.withColumn("popularity", mean_of(parts))
 
@@ -46,7 +48,7 @@ def laughs(transcripts: DataFrame, key: str, text: str, word: str = vocab.LAUGH_
     """``key, laughter, scaled_laugh`` of transcripts that occur once; a row that occurs twice is
     dropped with all its copies."""
     once = drop_every_copy(transcripts, [text], keep=[key])
-    counted = once.select(key, word_count(text, word).alias("laughter"))
+    counted = written(once.select(key, word_count(text, word).alias("laughter")), "laughs")
     return counted.withColumn("scaled_laugh", _within_range(counted, "laughter"))
 
 
@@ -86,5 +88,5 @@ def with_trends(
 
 
 def features(talks: DataFrame, transcripts: DataFrame, key: str, text: str, word: str = vocab.LAUGH_WORD) -> DataFrame:
-    rows = with_humour(scored(talks), laughs(transcripts, key, text, word), key)
+    rows = written(with_humour(scored(talks), laughs(transcripts, key, text, word), key), "humour")
     return with_flags(with_class(rows.where(F.col("popularity").isNotNull())))
