@@ -97,6 +97,10 @@ def _count(batches):
             classes = _CLASS[body]
             both = classes[:-1] * CLASSES + classes[1:]
             pairs += np.bincount(both, minlength=CLASSES * CLASSES)
+            # Not those from one text to the next.
+            over = np.unique(offsets[a + 1 : b]) - offsets[a] - 1
+            over = over[(over >= 0) & (over < len(both))]
+            pairs -= np.bincount(both[over], minlength=CLASSES * CLASSES)
             starts, ends, _ = word_spans(data, offsets[a : b + 1], _NOT_LETTER)
             keep = (ends - starts >= 3) & (ends - starts <= 8)
             starts, ends = starts[keep], ends[keep]
