@@ -9,8 +9,9 @@ the Jaccard similarity. Bands of coordinates are bucketed, and pairs are confirm
 Equal sets are one node, known by its smallest id, so groups of copies are one row in all that
 follows. In a bucket, all nodes are first confirmed against the smallest one. Where a bucket still holds several
 components, its nodes are bucketed anew by the rarest shingles of their sets: two sets of the wanted
-similarity share one of those (prefix filtering, exact under any common order of shingles). Nodes
-that differ too much share none, so hot groups fall apart. These buckets are worked off leader by
+similarity share one of those (prefix filtering, exact under any common order of shingles). Where the first one shared
+stands tells how much two sets can have in common at most, which leaves few pairs (positional filtering,
+exact too). Nodes that differ too much have no partner, so hot groups fall apart. These buckets are worked off leader by
 leader, smallest components first, until none holds an unconfirmed pair of different components. So no
 link between nodes that met in a bucket is lost, and no group is spread into all its pairs.
 
@@ -39,7 +40,7 @@ BAND = 6
 #: A pair at the threshold is missed by all bands with at most this chance.
 MISS = 1e-6
 #: Leaders per bucket and round once the smallest node of each bucket is dealt with.
-LEADERS = 32
+LEADERS = 512
 #: Counters that tell rare shingles from frequent ones; they only order shingles, so collisions lose nothing.
 COUNTERS = 1 << 18
 #: Shingles that are compared with one copy of a leader's set, before another task takes over.
@@ -198,7 +199,7 @@ def _prefixes(size: int, counts: np.ndarray, part: int, whole: int):
     def task(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            keys, rows, sizes = [], [], []
+            keys, rows, sizes, most = [], [], [], []
             for a, sets in _sets_of(batch.column(1), size):
                 for k, s in enumerate(sets, a):
                     order = np.lexsort((s, counts[_counter(s)]))
@@ -206,17 +207,23 @@ def _prefixes(size: int, counts: np.ndarray, part: int, whole: int):
                     keys.append(first)
                     rows += [ids[k]] * len(first)
                     sizes += [len(s)] * len(first)
+                    # If nothing before it is shared, the other set has at most so many shingles.
+                    most.append((len(s) - np.arange(len(first))) * (whole + part) // part - len(s))
             flat = signed(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat), pa.array(rows, pa.int64()), pa.array(sizes, pa.int64())], ["bucket", "id", "n"]
+                [
+                    pa.array(flat), pa.array(rows, pa.int64()), pa.array(sizes, pa.int64()),
+                    pa.array(np.concatenate(most) if most else np.zeros(0, np.int64)),
+                ],
+                ["bucket", "id", "n", "most"],
             )
 
     return task
 
 
 def rare_shingles(docs: DataFrame, ids: DataFrame, size: int, part: int, whole: int) -> DataFrame:
-    """``bucket, id, n``: the shingles of each named document that come first when rare ones do, so many that
-    two sets linked have one in common."""
+    """``bucket, id, n, most``: the shingles of each named document that come first when rare ones do, so many
+    that two sets linked have one in common; ``most`` bounds the size of a set linked whose first shared shingle it is."""
     ids, seen = written_counting(ids, "ids", n=F.count(F.lit(1)))
     texts = _texts_of(docs, ids, seen["n"]).select("id", "text")
     found = (
@@ -224,7 +231,7 @@ def rare_shingles(docs: DataFrame, ids: DataFrame, size: int, part: int, whole:
     )
     counts = np.zeros(COUNTERS, np.int64)  # at most COUNTERS rows came
     counts[np.asarray(found["counter"])] = np.asarray(found["n"])
-    return map_texts(texts, _prefixes(size, counts, part, whole), "bucket long, id long, n long")
+    return map_texts(texts, _prefixes(size, counts, part, whole), "bucket long, id long, n long, most long")
 
 
 def _component_roots(links: DataFrame) -> DataFrame:
@@ -246,15 +253,26 @@ def _component_roots(links: DataFrame) -> DataFrame:
 
 
 def _named(slots: DataFrame, roots: DataFrame) -> DataFrame:
-    """``bucket, id, n, comp`` of the buckets that hold several components."""
-    named = slots.select("bucket", "id", "n").join(roots, F.col("id") == F.col("node"), "left")
-    named = named.select("bucket", "id", "n", F.coalesce("root", "id").alias("comp"))
+    """``slots`` with their component, of the buckets that hold several components."""
+    named = slots.drop("comp").join(roots, F.col("id") == F.col("node"), "left")
+    named = named.withColumn("comp", F.coalesce("root", "id")).drop("node", "root")
     several = (
         named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
     )
     return named.join(several, "bucket")
 
 
+def _open(slots: DataFrame, roots: DataFrame) -> DataFrame:
+    """The slots that may still have a partner of another component in their bucket."""
+    named = _named(slots, roots)
+    bounds = named.groupBy("bucket").agg(F.min("n").alias("smallest"), F.max("most").alias("largest"))
+    fitting = named.join(bounds, "bucket").where("most >= smallest and n <= largest").drop("smallest", "largest")
+    several = (
+        fitting.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+    )
+    return fitting.join(several, "bucket")
+
+
 def _cross_pairs(left: DataFrame, part: int, whole: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of a leader and a node of another component, and the slots that are left without the leaders."""
     held = left.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("held"))
@@ -262,7 +280,7 @@ def _cross_pairs(left: DataFrame, part: int, whole: int) -> tuple[DataFrame, Dat
     leaders = written(
         left.join(held, ["bucket", "comp"]).withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= LEADERS)
-        .select("bucket", *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "comp", "place")]),
+        .select("bucket", *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "most", "comp", "place")]),
         "leaders",
     )
     places = leaders.select("bucket", F.col("l_id").alias("id"), "l_place").groupBy("bucket", "id").agg(
@@ -272,6 +290,7 @@ def _cross_pairs(left: DataFrame, part: int, whole: int) -> tuple[DataFrame, Dat
     met = left.join(places, ["bucket", "id"], "left").join(leaders, "bucket").where(
         (F.col("comp") != F.col("l_comp")) & (F.coalesce("place", F.lit(LEADERS + 1)) > F.col("l_place"))
         & (whole * F.least("n", "l_n") >= part * F.greatest("n", "l_n"))
+        & (F.col("n") <= F.col("l_most")) & (F.col("l_n") <= F.col("most"))
     )
     pairs = met.groupBy(F.least("id", "l_id").alias("a"), F.greatest("id", "l_id").alias("b")).agg(F.max("n").alias("nb"))
     return pairs, left.join(places.drop("place"), ["bucket", "id"], "left_anti")
@@ -313,7 +332,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, part: int = 80, whole: int =
     roots = _component_roots(links)
 
     ids = _named(slots, roots).select("id").distinct()
-    left, seen = written_counting(_named(rare_shingles(docs, ids, size, part, whole), roots), "left", n=F.count(F.lit(1)))
+    left, seen = written_counting(_open(rare_shingles(docs, ids, size, part, whole), roots), "left", n=F.count(F.lit(1)))
     while seen["n"]:
         pairs, rest = _cross_pairs(left, part, whole)
         pairs = pairs.join(tested.select("a", "b").distinct(), ["a", "b"], "left_anti")
@@ -321,7 +340,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, part: int = 80, whole: int =
         tested = tested.unionByName(more)
         links = links.unionByName(more.where(linked).select("a", "b"))
         roots = _component_roots(links)
-        left, seen = written_counting(_named(rest, roots), "left", n=F.count(F.lit(1)))
+        left, seen = written_counting(_open(rest, roots), "left", n=F.count(F.lit(1)))
 
     parts = (
         members.join(roots, members["doc_id"] == roots["node"], "left")
