@@ -1,7 +1,10 @@
 """Secret scans: candidate strings judged by a random forest.
 
 Candidates are runs of 16 or more token characters with a digit, runs of 20 or more without one, and
-values assigned to a credential word. A forest (Spark ML) trained on labelled findings removes
+values assigned to a credential word. An assigned value is one candidate from its first to its last
+character, whatever marks and runs are in it; so is a web token of up to three parts. In quotes it ends at the
+same quote; else at a blank or quote, before closing marks, at the next name=value after ; or , and in the query of an
+address at the next &. A forest (Spark ML) trained on labelled findings removes
 the false positives. Its features are length, character classes and transitions between them, how likely the
 character sequence is in the corpus, how much of it dictionary words cover, the path, and the words
 around it. The dictionary (its most frequent words) and the sequence counts come from the whole
@@ -43,12 +46,20 @@ THRESHOLD = 0.5
 _FLUSH = 1 << 19
 
 _KEYWORDS = r"api[_-]?key|access[_-]?key|auth[_-]?token|client[_-]?secret|passphrase|password|passwd|pwd|secret|token|credential"
-_ASSIGNED = re.compile(rf"(?i)(?:{_KEYWORDS})[\"']?\s*(?::=|=>|[:=])\s*[\"'`]?([^\s\"'`]{{6,}})")
+_ASSIGNED = re.compile(
+    rf"(?i)(?:{_KEYWORDS})[\"']?\s*(?::=|=>|[:=])\s*"
+    r"(?:\"((?:\\\S|[^\s\"\\]){6,})(?=\")|'((?:\\\S|[^\s'\\]){6,})(?=')|`((?:\\\S|[^\s`\\]){6,})(?=`)|[\"'`]?([^\s\"'`]{6,}))"
+)
+#: What follows a value that is not in quotes: the next pair, in general and in the query of an address.
+_NEXT_PAIR = re.compile(r"[;,][A-Za-z][\w.-]*=")
+_IN_QUERY = re.compile(r"[?&][\w.-]*$")
+_CLOSING = ".,;:!?)]}>*|"
+_WEB_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+){1,2}")
 _BEFORE = re.compile(rf"(?i)(?:{_KEYWORDS})[\"']?\s*(?::=|=>|[:=])\s*[\"'`]?$")
 _NEAR = re.compile(rf"(?i){_KEYWORDS}|bearer|private|login")
 _FORMATS = re.compile(
     r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{30,}"
-    r"|sk[-_](?:live|test|proj)?[-_]?[A-Za-z0-9]{20,}|glpat-[A-Za-z0-9_-]{16,}|eyJ[A-Za-z0-9_-]{10,}"
+    r"|sk[-_](?:live|test|proj)?[-_]?[A-Za-z0-9]{20,}|glpat-[A-Za-z0-9_-]{16,}|eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+){0,2}"
 )
 _DIGEST = re.compile(r"(?i)\b(?:hash|commit|sha-?\d*|md5|checksum|digest|revision|rev|etag|uuid|guid|id)\W*$")
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|change.?me|placeholder|your|x{4,}|\*{3,}|0{8,}|1234567|redacted|<|\$\{")
@@ -145,6 +156,23 @@ def dictionary_cover(value: str, words: frozenset[str]) -> float:
     return covered / max(1, len(low))
 
 
+def _assigned_values(text: str) -> list[tuple[int, int]]:
+    """Spans of the values assigned to a credential word."""
+    spans = []
+    for m in _ASSIGNED.finditer(text):
+        a, b = m.span(m.lastindex)
+        if m.lastindex == 4:
+            value = m[4]
+            ends = [n.start() for n in [_NEXT_PAIR.search(value)] if n]
+            if "&" in value and _IN_QUERY.search(text, max(0, m.start() - 60), m.start()):
+                ends.append(value.index("&"))
+            value = value[: min(ends, default=len(value))]
+            b = a + len(value.rstrip(_CLOSING) or value)
+        if b > a:
+            spans.append((a, b))
+    return spans
+
+
 def find_candidates(text: str, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, digits: np.ndarray, base: int):
     """Spans (in characters) of the candidates of one text. The arrays give its token runs in bytes."""
     spans = set()
@@ -158,13 +186,19 @@ def find_candidates(text: str, data: np.ndarray, starts: np.ndarray, ends: np.nd
             a, b = int(starts[k]), int(ends[k])
             first = a - origin if ascii_only else len(data[origin:a].tobytes().decode("utf-8", "replace"))
             spans.add((first, first + b - a))
+    whole = []
+    if "eyJ" in text:
+        whole += [m.span() for m in _WEB_TOKEN.finditer(text)]
     if "=" in text or ":" in text:
-        for m in _ASSIGNED.finditer(text):
-            a, b = m.span(1)
-            b -= len(m[1]) - len(m[1].rstrip(".,;:!?)]}>#$%&*|")) if m[1].rstrip(".,;:!?)]}>#$%&*|") else 0
-            if not any(x < b and a < y for x, y in spans):
-                spans.add((a, b))
-    return sorted(spans)
+        whole += _assigned_values(text)
+    # What overlaps becomes one span, so that no part of a value stays.
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted([*spans, *whole]):
+        if merged and a < merged[-1][1]:
+            merged[-1] = merged[-1][0], max(b, merged[-1][1])
+        else:
+            merged.append((a, b))
+    return merged
 
 
 def describe(text: str, a: int, b: int, path: str, known: CorpusStatistics) -> tuple[int, list[float]]:

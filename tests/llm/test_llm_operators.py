@@ -570,3 +570,20 @@ def test_given_findings_are_learned_from(leaky, empty):
     got = scan_secrets(leaky, findings).collect()
     assert all(r.is_secret == (r.length == 16) for r in got)
     assert scan_secrets(empty).count() == 0
+
+
+def test_assigned_values_are_removed_whole(spark, leaky):
+    from millrace.llm.secrets import REDACTED, redact_secrets
+
+    rng = random.Random(11)
+    run = lambda n: "3x" + "".join(rng.choices("abcdefghkmnpqrstuvwxyzABCDEFGHKLMNPQRSTUVWXYZ23456789", k=n))
+    forms = [
+        ('password = "{}"', lambda: f"Tr0ub4dor&{run(16)}"), ("secret: {} end", lambda: f"aB3.{run(20)}"),
+        ("pwd: '{}'", lambda: f'{run(18)}@p=7&"k.{run(18)}$'), ("say token = {}, or", lambda: f"{run(20)}.{run(24)}.{run(30)}"),
+        ('"token": "{}"', lambda: f"eyJ{run(20)}.eyJ{run(24)}.{run(30)}"), ("é Password={};Database=shop", lambda: f"{run(18)}@{run(9)}"),
+        ("http://h/?api_key={}&page=2", lambda: f"{run(18)}.{run(18)}"),
+    ]
+    cases = [(1000 + k, form, value()) for k, (form, value) in enumerate(forms * 15)]
+    rows = [(i, form.format(v), None, None, None) for i, form, v in cases]
+    got = redact_secrets(leaky.unionByName(spark.createDataFrame(rows, DOCS))).where("doc_id >= 1000").collect()
+    assert {r.doc_id: r.text for r in got} == {i: form.format(REDACTED) for i, form, _ in cases}
