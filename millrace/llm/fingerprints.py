@@ -10,7 +10,9 @@ A vector has two kinds of coordinates:
 * 128 of 24 bits, signs (+1 or -1) summed over the paragraph's pieces of a few words. They are small where
   they differ little: their cosine estimates how much two texts have in common (a standard error of 0.09).
 
-Pieces end where a blank follows one of a fixed set of characters, so an edit moves no other piece.
+Pieces are cut by content, in any script: one ends after a token where a hash of it and the token before, if in the
+same line, is 0 modulo 3, so an edit moves only the pieces next to it. A token is a word; from U+0E00 on (the scripts without
+blanks are there), and beyond the 24th character of a word, it is a character, and the hash is taken modulo 9.
 
 A null text counts as empty; empty texts have one empty paragraph. Repeated rows and ties in the id are
 ordered by the text's hash; rows without an id come last. An empty table gives an empty result.
@@ -29,8 +31,19 @@ SEEDS = tuple(range(101, 109))
 SIGN_SEEDS = (7, 8)
 WIDE, WIDE_BITS = 2 * len(SEEDS), 32
 SIGNS, SIGN_BITS = 64 * len(SIGN_SEEDS), 24
-#: Where a piece ends, and line ends.
-PIECE_END = r"(?<=[.!?,;:|)\"%&$#*0-9adgmoyé])[ \t\u000B\f\r]+|\n+"
+_BLANK = r" \t\x0B\f\r"
+_LONG = 24
+#: What a token can begin with: no blank, and not the second half of a character of two.
+_FIRST = rf"(?=[^{_BLANK}\n\uDC00-\uDFFF])"
+#: Before a token: after blanks, a line end, each character from U+0E00 on (Thai, Han, kana and others), each after the 24th of a word.
+TOKEN_START = rf"(?<=\n)|(?<=[{_BLANK}])(?=[^{_BLANK}\n])"
+TOKEN_START_ANY = rf"{TOKEN_START}|(?<=[\u0E00-\uFFFF]){_FIRST}|(?<=[^{_BLANK}\n]{{{_LONG}}}){_FIRST}"
+_ANY = rf"[\u0E00-\x{{10FFFF}}]|(?<![^{_BLANK}\n])[^{_BLANK}\n]{{{_LONG + 1}}}"
+#: One token in so many ends a piece: of words, and of characters that are tokens.
+PIECE_WORDS, PIECE_CHARS = 3, 9
+PIECE_SEED = 29
+_CUT = "\u0001"
+
 #: Most blocks of consecutive ids: each keeps one row in a broadcast table.
 MOST_BLOCKS = 16_384
 
@@ -43,8 +56,11 @@ def paragraph_sums(texts: DataFrame, keys: Sequence[str], text: str = "text") ->
 
     If the keys already are where the partitioning puts them, nothing is shuffled.
     """
+    tokens = F.when(F.rlike(text, F.lit(_ANY)), F.split(text, TOKEN_START_ANY)).otherwise(F.split(text, TOKEN_START))
     paragraphs = F.transform(F.split(text, "\n"), lambda p: F.concat(F.lit("\n"), p))
-    units = texts.select(*keys, F.explode(F.concat(paragraphs, F.split(text, PIECE_END))).alias("u"))
+    texts = texts.select(*keys, paragraphs.alias("__paragraphs"), tokens.alias("__tokens"))
+    pieces = F.split(F.array_join(F.transform("__tokens", _marked), ""), f"[\n{_CUT}]+")
+    units = texts.select(*keys, F.explode(F.concat("__paragraphs", pieces)).alias("u"))
     whole = F.startswith("u", F.lit("\n"))
     units = units.where(F.col("u") != "").select(
         *keys,
@@ -71,6 +87,15 @@ def paragraph_sums(texts: DataFrame, keys: Sequence[str], text: str = "text") ->
     return units.groupBy(*keys).agg(*sums).select(*keys, wide.alias("wide"), signs.alias("signs"))
 
 
+def _marked(token: Column, at: Column) -> Column:
+    """``token``, with a mark behind it if a piece ends there."""
+    before = F.get(F.col("__tokens"), at - 1)
+    before = F.when(~F.endswith(before, F.lit("\n")), before)
+    most = F.when(F.char_length(token) == 1, PIECE_CHARS).otherwise(PIECE_WORDS)
+    ends = F.pmod(F.xxhash64(F.lit(PIECE_SEED), before, token), most) == 0
+    return F.when(ends, F.concat(token, F.lit(_CUT))).otherwise(token)
+
+
 def _wrapped(x: Column) -> Column:
     """``x`` modulo 2^24, as a number between -2^23 and 2^23."""
     half = 1 << (SIGN_BITS - 1)

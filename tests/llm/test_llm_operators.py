@@ -136,6 +136,36 @@ def test_fingerprints_add_and_remove(spark):
     assert row.f == row.sum and row.a == row.less and row.a != row.f
 
 
+def test_likeness_holds_in_any_script(spark):
+    from millrace.llm.fingerprints import likeness, paragraph_sums
+
+    rng = random.Random(4)
+
+    def words(low, high, n, sep=" "):
+        return sep.join("".join(chr(rng.randint(low, high)) for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+    makers = {
+        "upper": lambda: words(65, 90, 400), "russian": lambda: words(0x430, 0x44F, 400), "arabic": lambda: words(0x621, 0x64A, 400),
+        "chinese": lambda: words(0x4E00, 0x5200, 300, ""), "thai": lambda: words(0xE01, 0xE2E, 300, ""),
+        "astral": lambda: words(0x20000, 0x20400, 300, ""), "unbroken": lambda: words(97, 122, 300, ""), "english": lambda: words(97, 122, 400),
+    }
+    rows = []
+    for name, make in makers.items():
+        a, b = make(), make()
+        half = len(a) // 2
+        # Latter half replaced; one word put in, which must not move the other pieces; nothing shared.
+        rows += [(name, "edited", a, a[: len(a) - half] + b[:half]), (name, "added", a, a[:half] + " qq " + a[half:]), (name, "other", a, b)]
+    pairs = spark.createDataFrame(rows, "name string, kind string, a string, b string")
+    own = lambda c: paragraph_sums(pairs.select("name", "kind", c), ["name", "kind"], c).select(
+        "name", "kind", F.struct("wide", "signs", F.aggregate("signs", F.lit(0).cast("long"), lambda s, x: s + x * x).cast("double").alias("norm")).alias("f" + c)
+    )
+    got = own("a").join(own("b"), ["name", "kind"]).select("name", "kind", likeness(F.col("fa"), F.col("fb")).alias("like")).collect()
+    assert len(got) == 3 * len(makers)
+    for r in got:
+        low, high = {"edited": (0.2, 0.8), "added": (0.9, 1), "other": (0, 0.35)}[r.kind]
+        assert low <= r.like <= high, sorted(got)
+
+
 def test_fingerprints_of_no_rows(empty):
     from millrace.llm.fingerprints import fingerprint_edits
 
