@@ -110,6 +110,13 @@ def drop_every_copy(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
     return once.where("__n = 1").drop("__n")
 
 
+#: Times to the microsecond, with era and full offset; the default of JSON ends at the millisecond.
+_LOSSLESS = {
+    "timestampFormat": "G yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX", "timestampNTZFormat": "G yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "dateFormat": "G yyyy-MM-dd",
+}
+
+
 def later_copies(df: DataFrame, cols: Sequence[str], row_key: str) -> DataFrame:
     """Rows that repeat an earlier row (all but the lowest ``row_key`` of equal rows).
 
@@ -117,7 +124,7 @@ def later_copies(df: DataFrame, cols: Sequence[str], row_key: str) -> DataFrame:
     meet the digests that repeat. Copies are combined before the shuffle.
     """
     # A field that is null is left out of the text, so null and empty differ.
-    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols]), _LOSSLESS), 256)
     tagged = df.withColumn("__digest", digest)
     firsts = (
         tagged.groupBy(F.col("__digest").alias("__copy"))

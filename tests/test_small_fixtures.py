@@ -219,3 +219,12 @@ def test_roc_of_hard_predictions(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 0), (0, 0), (0, 1)], "label int, p int")
     assert metrics.roc_auc(df, "label", "p").first().auc == pytest.approx(0.5 * (2 / 3 - 0.5) + 0.5)
     assert metrics.roc_auc(df, "label", "p", hot_rows=0).first().auc == pytest.approx(0.5 * (2 / 3 - 0.5) + 0.5)
+
+
+def test_later_copies_tell_microseconds_apart(spark):
+    times = [".123456", ".123999", ".123456", ".123"]
+    rows = spark.createDataFrame([(i, f"2024-01-01 05:00:00{t}") for i, t in enumerate(times)], "id int, s string")
+    rows = rows.select("id", *[F.col("s").cast(k).alias(k) for k in ("timestamp", "timestamp_ntz")])
+    rows = rows.withColumn("nested", F.array(F.struct("timestamp")))
+    for c in ("timestamp", "timestamp_ntz", "nested"):
+        assert values(cleaning.later_copies(rows, [c], "id"), "id") == [(2,)]
