@@ -213,3 +213,68 @@ def op10_secret_scan(t: Tables) -> DataFrame:
     from millrace.llm.secrets import scan_secrets
 
     return scan_secrets(t.documents, path=F.col("source"))
+
+
+_LEAF = """sha256(concat(
+            coalesce(strlen(cast(doc_id as varchar)) || ':' || cast(doc_id as varchar), '-'),
+            coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+            coalesce(strlen(cast(n_chars as varchar)) || ':' || cast(n_chars as varchar), '-'),
+            coalesce(strlen({text}) || ':' || {text}, '-')))"""
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(f"""
+    with recursive coded as (
+        select *, xor(4294967295, list_reduce(
+            list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda d: unicode(d)::bigint)),
+            lambda c, d: list_reduce(list_prepend(xor(c, d), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+                lambda x, y: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end))) as crc
+        from documents
+    ), leaves as (
+        select doc_id, lang, {_LEAF.format(text='text')} as leaf,
+            case when crc % 3 = 0 then {_LEAF.format(text=_LOWER)} else {_LEAF.format(text='text')} end as found
+        from coded
+    ), placed as (
+        select *, dense_rank() over (order by lang nulls first) - 1 as tree, row_number() over (
+            partition by lang order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by lang) as width
+        from leaves
+    ), nodes as (
+        select tree, 0 as level, idx, width, leaf as digest from placed
+        union all
+        select tree, level + 1, idx // 8, (width + 7) // 8, sha256(string_agg(digest, '' order by idx))
+        from nodes where width > 1 group by tree, level, idx // 8, width
+    ), subroots as (
+        select tree as idx, digest as subroot, count(*) over () as width from nodes where width = 1
+    ), crown as (
+        select 0 as level, idx, width, subroot as digest from subroots
+        union all
+        select level + 1, idx // 8, (width + 7) // 8, sha256(string_agg(digest, '' order by idx))
+        from crown where width > 1 group by level, idx // 8, width
+    ), every_node as (
+        select tree, level, idx, width, digest from nodes
+        union all select -1, level, idx, width, digest from crown
+    ), beside as (
+        select a.tree, a.level, a.idx, coalesce(string_agg(b.digest, '' order by b.idx) filter (b.idx < a.idx), '') as l,
+            coalesce(string_agg(b.digest, '' order by b.idx) filter (b.idx > a.idx), '') as r
+        from every_node a join every_node b on a.tree = b.tree and a.level = b.level and a.idx // 8 = b.idx // 8
+        where a.width > 1 group by a.tree, a.level, a.idx
+    ), climb as (
+        select row_number() over () as rid, doc_id, leaf, tree as home, tree, 0 as level, idx, width, found as folded, '' as proof
+        from placed
+        union all
+        select * from (
+            select rid, doc_id, leaf, home, b.tree, c.level + 1, c.idx // 8, (c.width + 7) // 8, sha256(l || folded || r), proof || l || r
+            from climb c join beside b on c.tree = b.tree and c.level = b.level and c.idx = b.idx where c.width > 1
+            union all
+            select rid, doc_id, leaf, home, -1, 0, s.idx, s.width, folded, proof
+            from climb c join subroots s on c.tree = s.idx where c.width = 1 and c.tree >= 0
+        )
+    )
+    select doc_id, leaf, subroot, (select digest from crown where width = 1) as root, sha256(proof) as proof_sha256,
+        folded as folded_root, folded = (select digest from crown where width = 1) as verified
+    from climb c join subroots s on c.home = s.idx where c.tree = -1 and c.width = 1
+""")
+def op13_merkle_manifest(t: Tables) -> DataFrame:
+    from millrace.llm.manifest import build_manifest, prove, tampered_leaf
+
+    return prove(build_manifest(t.documents, tampered_leaf()))
