@@ -278,3 +278,50 @@ def op13_merkle_manifest(t: Tables) -> DataFrame:
     from millrace.llm.manifest import build_manifest, prove, tampered_leaf
 
     return prove(build_manifest(t.documents, tampered_leaf()))
+
+
+@query()
+def op12_simhash_duplicates(t: Tables) -> DataFrame:
+    from millrace.llm.simhash import simhash_duplicates
+
+    found = simhash_duplicates(t.documents, size=4, most=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_PIECES = r"[.,;:!?\x0A-\x0D]"
+
+
+@query(rf"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_PIECES}')), '[^\x20\x09]+') as w
+        from documents
+    ), spots as (
+        select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from pieces, range(1, 6) as sizes(m) where len(w) >= m
+    ), counted as (
+        select lang, m, array_to_string(w[i : i + m - 1], ' ') as phrase, count(*) as f from spots group by all
+    ), totals as (
+        select lang, cast(sum(f) as bigint) as n from counted where m = 1 group by lang
+    ), candidates as (
+        select lang, m, phrase, string_split(phrase, ' ') as w, f as a from counted where m >= 2 and f >= 100
+    ), inside as (
+        select distinct lang, array_to_string(w[i : i + k - 1], ' ') as phrase, a
+        from (select *, unnest(range(1, m - k + 2)) as i from candidates, range(2, 5) as shorter(k) where k < m)
+    ), cuts as (
+        select c.lang, c.phrase, c.a, t.n, k, l.f as l, r.f as r,
+            cast((1000::hugeint * c.a * t.n) // (l.f::hugeint * r.f) as bigint) as score
+        from (select *, unnest(range(1, m)) as k from candidates) c join totals t using (lang)
+        join counted l on l.lang = c.lang and l.phrase = array_to_string(w[1 : k], ' ')
+        join counted r on r.lang = c.lang and r.phrase = array_to_string(w[k + 1 :], ' ')
+    ), lowest as (
+        select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+    ), ranked as (
+        select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest c
+        where not exists (select 1 from inside i where i.lang = c.lang and i.phrase = c.phrase and i.a >= c.a)
+    )
+    select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+""")
+def op11_phrases(t: Tables) -> DataFrame:
+    from millrace.llm.phrases import mine_phrases
+
+    return mine_phrases(t.documents, least=100, top=2000)
