@@ -50,6 +50,8 @@ _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _APART = _BREAK.copy()
 _APART[[0x20, 0x09]] = True
 _CHUNK = 32768
+#: Keeps the hash of a language apart from that of the same word.
+_SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -81,7 +83,8 @@ def read_words(batch: pa.RecordBatch) -> Iterator[tuple[Words, list[str]]]:
     coded = batch.column(0).dictionary_encode()
     names, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices)
     held, marks = text_buffers(pa.array(names, pa.string()))
-    salts = np.concatenate([span_hashes(held, marks[k : k + 1], marks[k + 1 : k + 2]) for k in range(len(names))] or [np.zeros(0, np.uint64)])
+    salts = [span_hashes(held, marks[k : k + 1], marks[k + 1 : k + 2]) for k in range(len(names))]
+    salts = mixed(np.concatenate([np.zeros(0, np.uint64), *salts]) + _SALT)
     data, offsets = text_buffers(batch.column(1))
     for a, b in runs(offsets, RUN):
         low = int(offsets[a])

@@ -62,6 +62,7 @@ def made_rows(seed=0, docs=220):
     return [
         *rows, (0, None, "en"), (1, "", None), (2, " \t ", "de"), (3, "...", "xx"), (None, rows[5][1], "en"), rows[7], rows[7],
         (900, " ".join(rng.choices(words, k=20_000)) + " aa aa aa aa aa aa aa", "fr"), (901, "one", "yy"), (902, "w3 w4 w5 " * 3, ""),
+        (903, "en de fr en, de en " * 4, "en"), (904, "de en de fr " * 5, "de"), (905, "fr en de " * 3, "fr"),
     ]
 
 
