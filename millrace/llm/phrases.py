@@ -123,19 +123,23 @@ def in_table(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _word_counts(batches):
+    """``lang, phrase, h, n`` of the words of a task; inside it, words are told apart by their 64-bit hashes."""
+
     def out():
-        columns = list(zip(*((lang, word, h, n) for (lang, word), (h, n) in held.items()))) or [()] * 4
+        columns = list(zip(*((lang, word, h, n) for h, (lang, word, n) in held.items()))) or [()] * 4
         kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "phrase", "h", "n"])
 
-    held: dict[tuple[str, str], tuple[int, int]] = {}
+    held: dict[int, list] = {}
     for batch in batches:
         for words, names in read_words(batch):
             hashes, first, counts = np.unique(words.hashes, return_index=True, return_counts=True)
             for h, at, n in zip(signed(hashes).tolist(), first.tolist(), counts.tolist()):
-                key = names[words.lang[at]], words.phrase(at, 1)
-                before = held.get(key)
-                held[key] = (h, n + before[1] if before else n)
+                known = held.get(h)
+                if known is None:
+                    held[h] = [names[words.lang[at]], words.phrase(at, 1), n]
+                else:
+                    known[2] += n
             if len(held) > HELD:
                 yield out()
                 held.clear()
