@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from millrace.catalog import standins as st
 from millrace.catalog.registry import query
 from millrace.functions.scalar import clip_negative, residual
+from millrace.operators import centres, metrics, staged
 from millrace.operators import learners as op
-from millrace.operators import metrics
-from millrace.operators.features import assembled
+from millrace.operators.features import assembled, z_score
 from millrace.operators.ranking import hash_split, stratified_folds, stratified_split
 from millrace.operators.stats import category_counts
 from millrace.session import written
@@ -45,10 +45,15 @@ def split_credit(t):
     return parts.where("is_test = 0").drop("is_test"), parts.where("is_test = 1").drop("is_test")
 
 
-def placed_customers(t):
-    from millrace.catalog.neighbours import points
+_FIGURES = ["credit_limit", "avg_ba", "avg_pa", "age"]
 
-    return assembled(written(points(t), "points"), ["x0", "x1"])
+
+def client_figures(t):
+    """``client_id, features``: limit, mean bill, mean payment and age of every client as z-scores."""
+    from millrace.plans.credit import cleaned
+
+    rows = written(cleaned(st.clients(t)).select("client_id", *_FIGURES), "figures")
+    return assembled(z_score(rows, _FIGURES), [f"{c}_z" for c in _FIGURES]).select("client_id", "features")
 
 
 @query("L1_linear_regression")
@@ -79,53 +84,56 @@ def _(t):
 @query("L4_decision_tree_classifier")
 def _(t):
     train, test = split_credit(t)
-    return metrics.class_report(
-        op.scores(op.tree_classifier("entropy", 8, 5).fit(train), test, "label", "prediction")
-    )
+    model = staged.SavedTrees(op.tree_classifier("gini", 4).fit(train), t.spark).collapsed(min_split=50)
+    return metrics.class_report(op.scores(model, test, "label", "prediction"))
 
 
 @query("L5_random_forest_classifier")
 def _(t):
     train, test = split_credit(t)
-    model = op.forest_classifier(20, 8, 3).fit(train)
+    forest = op.forest_classifier(200, 5, 5).fit(train)
+    model = staged.SavedTrees(forest, t.spark).collapsed(min_split=50)
     return metrics.averaged_scores(op.scores(model, test, "label", "prediction"))
 
 
 @query("L6_kmeans")
 def _(t):
-    rows = placed_customers(t)
-    model = op.kmeans_best(rows, 9, starts=10)
-    return category_counts(op.scores(model, rows, "client_id", "prediction"), "prediction")
+    return category_counts(centres.clustered(client_figures(t), 9, starts=10, iterations=100), "prediction")
 
 
 @query("L7_kmeans_sweep")
 def _(t):
-    return op.k_sweep(placed_customers(t), range(2, 7))
+    return centres.kmeans_sweep(client_figures(t), range(2, 51), starts=5, iterations=10)
 
 
 @query("L12_nested_clusters")
 def _(t):
-    return op.nested_clusters(placed_customers(t), "client_id", 4)
+    return op.nested_clusters(client_figures(t), "client_id", 4)
+
+
+_SIZES = [10, 20, 30, 40, 50, 60, 70]
+GRID = staged.tree_grid({
+    "impurity": ["gini", "entropy"], "depth": [None, 2, 3, 4, 5], "min_split": [2, 5, *_SIZES], "min_leaf": [1, 5, *_SIZES],
+})
+DRAWN_FROM = staged.tree_grid({
+    "depth": [None, *range(2, 20)], "min_split": [2, 5, 10, 20, 30, 50, 100], "min_leaf": [1, 5, 10, 20, 30, 50, 100],
+})
 
 
-def _search(t, sample=None):
+def _search(t, grid):
     train, _ = split_credit(t)
     folded = written(stratified_folds(train, "label", "client_id", 3, 7), "folds")
-    tree = op.tree_classifier()
-    grid = op.param_grid(tree, {"maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 10]})
-    if sample:
-        grid = op.random_params(grid, sample, seed=1)
-    return op.cross_validate(folded, tree, grid, op.f1_evaluator(), "fold", 3)
+    return staged.search_trees(folded, grid, "fold", 3)
 
 
 @query("L20_grid_search")
 def _(t):
-    return _search(t)[1]
+    return _search(t, GRID)
 
 
 @query("L21_random_search")
 def _(t):
-    return _search(t, sample=3)[1]
+    return _search(t, staged.drawn(DRAWN_FROM, 100, seed=1))
 
 
 @query("L22_cross_validation")
@@ -138,7 +146,13 @@ def _(t):
 
 def _depths(t):
     train, valid = split_lines(t)
-    return op.validation_sweep(train, valid, {f"depth={d:02d}": op.tree_regressor(d) for d in (3, 6, 9)})
+    return staged.staged_sweep(train, valid, op.tree_regressor(), range(5, 27))
+
+
+@query("L23_forest_validation_sweep")
+def _(t):
+    train, valid = split_lines(t)
+    return staged.staged_sweep(train, valid, op.forest_regressor(trees=4), range(15, 22), name="forest_depth")
 
 
 @query("L23_validation_sweep")
