@@ -34,14 +34,27 @@ BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 
 def map_texts(rows: DataFrame, task, schema: str) -> DataFrame:
-    """``rows.mapInArrow`` in small batches (a setting of the session)."""
+    """``rows.mapInArrow`` in small batches (settings of the session, which are only ever lowered)."""
     conf = rows.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        held = conf.get(key)
+        if not held.isdigit() or not 0 < int(held) <= most:
+            conf.set(key, str(most))
     return rows.mapInArrow(task, schema)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores in front until no column of ``df`` is called so."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in held:
+            name = "_" + name
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit words."""
     x = x ^ (x >> np.uint64(30))
