@@ -6,6 +6,10 @@ windows smallest. The counts stand in one array with an entry per level. At the
 windows still open are filled from one another by cutting, and the last one is cut at powers of
 two, which need no padding. No row is shuffled and a task holds only its open windows.
 
+A task that has very many windows open closes them early in the same way, so that its memory is bounded;
+every token still lies in exactly one piece. A text that holds an added token's literal (``<|endoftext|>``) has the ids that
+the tokenizer gives it as a whole.
+
 Null or empty texts are one token (the end mark). Repeated rows are packed as often as they stand.
 Rows with a null id are packed too. An empty table gives no pieces. Other columns are not read.
 """
@@ -55,6 +59,9 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
+        # For words; a text that holds an added token's literal goes whole through the plain tokenizer.
+        self.plain = Tokenizer.from_file(tokenizer_file)
+        self.literals = [t.content.lower().encode() for t in self.plain.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
@@ -101,6 +108,20 @@ class WordTokens:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows and the n + 1 positions at which the rows begin."""
+        ids, bounds = self._encode_words(data, offsets)
+        body = data[offsets[0] : offsets[-1]].tobytes().lower()
+        if not any(literal in body for literal in self.literals):
+            return ids, bounds
+        parts, low = [], int(offsets[0])
+        for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+            own = ids[bounds[k] : bounds[k + 1]]
+            if any(literal in body[a - low : b - low] for literal in self.literals):
+                text = data[a:b].tobytes().decode("utf-8", "replace")
+                own = np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
+            parts.append(own)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(own) for own in parts])])
+
+    def _encode_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, bounds = word_spans(data, offsets, kinds=_KINDS)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
