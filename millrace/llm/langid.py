@@ -30,7 +30,7 @@ ORDERS = (1, 2, 3)
 #: Rows that may be learned from, over all languages.
 SAMPLE_ROWS = 6000
 _RUN = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_LATIN = re.compile("[A-Za-z]")
 _FOLD = np.arange(128, dtype=np.uint32)
 _FOLD[[c for c in range(128) if not chr(c).isalpha()]] = 32
 _BLANK = np.uint32(32)
@@ -45,36 +45,41 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def gram_buckets(text: str) -> np.ndarray:
-    """The hashed n-grams of one text, one entry per occurrence; n-grams of blanks only are left out."""
+def folded_points(text: str) -> np.ndarray:
+    """Code points of a text in lower case between blanks; ASCII that is no letter counts as a blank."""
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.where(points < 128, _FOLD[np.minimum(points, 127)], points)
-    parts = []
-    for n in ORDERS:
-        grams = points[: len(points) - n + 1].copy()
-        full = grams != _BLANK
-        for k in range(1, n):
-            following = points[k : len(points) - n + 1 + k]
-            grams *= np.uint32(0x01000193)
-            grams += following
-            full |= following != _BLANK
-        grams = _scrambled(grams + np.uint32(n * 0x9E3779B9 & 0xFFFFFFFF))
-        parts.append((grams & np.uint32(BUCKETS - 1))[full])
-    return np.concatenate(parts)
+    return np.where(points < 128, _FOLD[np.minimum(points, 127)], points)
 
 
-def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text and how often each occurs. A long text is counted in runs of bounded size,
+def gram_buckets(points: np.ndarray, n: int) -> np.ndarray:
+    """The hashed n-grams of some code points, one entry per occurrence; n-grams of blanks only are left out."""
+    size = max(0, len(points) - n + 1)
+    grams = points[:size].copy()
+    full = grams != _BLANK
+    for k in range(1, n):
+        following = points[k : size + k]
+        grams *= np.uint32(0x01000193)
+        grams += following
+        full |= following != _BLANK
+    grams = _scrambled(grams + np.uint32(n * 0x9E3779B9 & 0xFFFFFFFF))
+    return (grams & np.uint32(BUCKETS - 1))[full]
+
 
-    each read as a text of its own.
-    """
-    counts = np.zeros(BUCKETS, np.int64)
-    for a in range(0, max(1, len(text)), _RUN):
-        counts += np.bincount(gram_buckets(text[a : a + _RUN]), minlength=BUCKETS)
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text and how often each occurs, counted in runs that overlap so that no n-gram is cut."""
+    counts, points = np.zeros(BUCKETS, np.int64), folded_points(text)
+    for a in range(0, len(points), _RUN):
+        for n in ORDERS:
+            counts += np.bincount(gram_buckets(points[a : a + _RUN + n - 1], n), minlength=BUCKETS)
     found = np.flatnonzero(counts)
     return found, counts[found]
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of the general category of letters is in the text."""
+    return _LATIN.search(text) is not None or any(map(str.isalpha, text))
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
@@ -90,7 +95,7 @@ class LanguageModel:
         return x @ self.weights[found] + self.weights[-1]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.languages or not _LETTER.search(text):
+        if text is None or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         found, counts = gram_counts(text)
         p = softmax(self.scores(found, self.features(found, counts)) / self.temperature)
