@@ -21,6 +21,7 @@ missing or null path is no path. An empty table gives an empty result. Extra col
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.sampling import bounded_sample
-from millrace.llm.textkit import map_texts, runs, text_buffers, word_spans
+from millrace.llm.textkit import map_texts, runs, text_buffers, unused, word_spans
 from millrace.session import scratch_path, written
 
 #: Words of 3 to 8 letters the dictionary holds.
@@ -173,19 +174,17 @@ def _assigned_values(text: str) -> list[tuple[int, int]]:
     return spans
 
 
-def find_candidates(text: str, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, digits: np.ndarray, base: int):
-    """Spans (in characters) of the candidates of one text. The arrays give its token runs in bytes."""
-    spans = set()
+def find_candidates(text: str, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, digits: np.ndarray, base: int):
+    """Spans (in characters) of the candidates of one text.
+
+    ``starts`` and ``ends`` give its token runs in bytes, ``chars`` and ``digits`` how many characters and digits begin
+    before each byte of it; its first byte is ``base``.
+    """
     long = ends - starts
     some = digits[ends - base] > digits[starts - base]
-    picked = np.flatnonzero((long >= 20) | ((long >= 16) & some))
-    if len(picked):
-        ascii_only = text.isascii()
-        origin = base
-        for k in picked.tolist():
-            a, b = int(starts[k]), int(ends[k])
-            first = a - origin if ascii_only else len(data[origin:a].tobytes().decode("utf-8", "replace"))
-            spans.add((first, first + b - a))
+    picked = (long >= 20) | ((long >= 16) & some)
+    first = chars[starts[picked] - base] - chars[0]
+    spans = set(zip(first.tolist(), (first + long[picked]).tolist()))
     whole = []
     if "eyJ" in text:
         whole += [m.span() for m in _WEB_TOKEN.finditer(text)]
@@ -234,6 +233,11 @@ def describe(text: str, a: int, b: int, path: str, known: CorpusStatistics) -> t
     return -1, features
 
 
+def digest_of(value: str) -> str:
+    """Tells findings apart without giving anything of them away."""
+    return hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()[:12]
+
+
 def _scan(known: CorpusStatistics):
     def task(batches):
         for batch in batches:
@@ -243,16 +247,18 @@ def _scan(known: CorpusStatistics):
             for a, b in runs(offsets, 1 << 20):
                 low = int(offsets[a])
                 starts, ends, bounds = word_spans(data, offsets[a : b + 1], _NOT_TOKEN)
-                digits = np.concatenate([[0], np.cumsum(_DIGIT[data[low : offsets[b]]])])
+                body = data[low : offsets[b]]
+                digits = np.concatenate([[0], np.cumsum(_DIGIT[body])])
+                chars = np.concatenate([[0], np.cumsum((body & 0xC0) != 0x80)])
                 for k in range(a, b):
                     text = texts[k]
                     if not text:
                         continue
                     base, first, last = int(offsets[k]), bounds[k - a], bounds[k - a + 1]
-                    own = digits[base - low : int(offsets[k + 1]) - low + 1]
-                    for x, y in find_candidates(text, data, starts[first:last], ends[first:last], own, base):
+                    own = slice(base - low, int(offsets[k + 1]) - low + 1)
+                    for x, y in find_candidates(text, chars[own], starts[first:last], ends[first:last], digits[own], base):
                         evidence, features = describe(text, x, y, paths[k] or "", known)
-                        out.append((ids[k], x, y - x, evidence, features, f"{text[x : x + 4]}..."))
+                        out.append((ids[k], x, y - x, evidence, features, digest_of(text[x:y])))
             columns = list(zip(*out)) if out else [()] * 6
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.float64()), pa.string())
             names = [c.split()[0] for c in CANDIDATES.split(", ")]
@@ -262,7 +268,7 @@ def _scan(known: CorpusStatistics):
 
 
 def secret_candidates(docs: DataFrame, known: CorpusStatistics, path: Column | None = None) -> DataFrame:
-    """One row per candidate: where it stands, what the evidence says, its features, its first characters."""
+    """One row per candidate: where it stands, what the evidence says, its features, the start of its digest."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", (F.lit(None) if path is None else path).cast("string").alias("path"))
     return map_texts(rows, _scan(known), CANDIDATES)
 
@@ -334,15 +340,16 @@ def redact_secrets(docs: DataFrame, path: Column | None = None, threshold: float
     mark = F.xxhash64("text")
     # A text's own hash goes with its findings in place of the id: equal texts have equal findings.
     found = scan_secrets(docs.withColumn("doc_id", mark), path=path, threshold=threshold)
+    of, held, new = unused(docs, "found_in", "found_spans", "new_text")
     spans = (
         found.where("is_secret").select("doc_id", "start", "length").distinct()
-        .groupBy(F.col("doc_id").alias("__text")).agg(F.collect_list(F.struct("start", "length")).alias("__spans"))
+        .groupBy(F.col("doc_id").alias(of)).agg(F.collect_list(F.struct("start", "length")).alias(held))
     )
-    joined = docs.join(spans, mark == F.col("__text"), "left")
-    text = F.when(F.col("__spans").isNotNull(), redacted_text(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
-    joined = joined.withColumn("__new", text)
-    columns = {"text": F.col("__new")}
+    joined = docs.join(spans, mark == F.col(of), "left")
+    text = F.when(F.col(held).isNotNull(), redacted_text(F.col("text"), F.col(held))).otherwise(F.col("text"))
+    joined = joined.withColumn(new, text)
+    columns = {"text": F.col(new)}
     if "n_chars" in docs.columns:
-        n = F.when(F.col("__spans").isNotNull(), F.char_length("__new")).otherwise(F.col("n_chars"))
+        n = F.when(F.col(held).isNotNull(), F.char_length(new)).otherwise(F.col("n_chars"))
         columns["n_chars"] = n.cast(docs.schema["n_chars"].dataType)
     return joined.withColumns(columns).select(docs.columns)
