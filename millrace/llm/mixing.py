@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.llm.textkit import unused
 from millrace.session import written
 
 WEIGHTS = (3, 1, 2)
@@ -137,8 +138,10 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, as often as it takes them; columns as given."""
     _, cuts = source_cuts(docs)
-    cuts = cuts.select(F.col("t_source").alias("__source"), F.col("cut").alias("__cut"))
-    size, key = word_count(F.col("text")), shuffle_key(F.col("doc_id"))
-    joined = docs.join(cuts, docs["source"].eqNullSafe(cuts["__source"]))
-    copies = F.array_repeat(F.lit(0), _copies(F.col("doc_id"), size, key, F.col("__cut")))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(copies).alias("__copy")).drop("__copy")
+    source, cut, size, key, copy = unused(docs, "cut_source", "cut", "size", "key", "copy")
+    cuts = cuts.select(F.col("t_source").alias(source), F.col("cut").alias(cut))
+    # Counted once per row, in columns of their own, before copies are worked out from them.
+    measured = docs.withColumns({size: word_count(F.col("text")), key: shuffle_key(F.col("doc_id"))})
+    joined = measured.join(cuts, measured["source"].eqNullSafe(cuts[source]))
+    copies = F.array_repeat(F.lit(0), _copies(F.col("doc_id"), F.col(size), F.col(key), F.col(cut)))
+    return joined.select(*[measured[c] for c in docs.columns], F.explode(copies).alias(copy)).drop(copy)
