@@ -31,7 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.textkit import map_texts, mixed, runs, shingle_sets, signed, span_hashes, text_buffers, word_spans
+from millrace.llm.textkit import (
+    map_texts, mixed, runs, shingle_sets, signed, span_hashes, text_buffers, unused, word_spans,
+)
 from millrace.operators.components import component_roots
 from millrace.session import written, written_counting
 
@@ -129,23 +131,25 @@ def _compare(size: int):
     """Rows sorted by (leader, part, role): the leader's text, then those of its partners."""
 
     def task(batches):
-        leader, held = None, None
+        leader, held = None, []
         for batch in batches:
             leads, parts, roles, ids = (batch.column(k).to_pylist() for k in range(4))
             found: list[tuple] = []
             for a, sets in _sets_of(batch.column(4), size):
                 for k, s in enumerate(sets, a):
                     if roles[k] == 0:
-                        # Rows of one id are one document: their sets are taken together.
-                        again = leader == (leads[k], parts[k])
-                        held = np.union1d(held, s) if again else s
-                        leader = (leads[k], parts[k])
-                    elif leader == (leads[k], parts[k]) and len(held) and len(s):
-                        small, large = (s, held) if len(s) <= len(held) else (held, s)
-                        at = np.searchsorted(large, small)
-                        at[at == len(large)] = 0
-                        shared = int(np.count_nonzero(large[at] == small))
-                        found.append((leads[k], ids[k], shared, len(s) + len(held) - shared))
+                        # Rows of one id are one document, linked if any of them is: each is compared by itself.
+                        if leader != (leads[k], parts[k]):
+                            leader, held = (leads[k], parts[k]), []
+                        if len(s) and not any(np.array_equal(s, h) for h in held):
+                            held.append(s)
+                    elif leader == (leads[k], parts[k]) and len(s):
+                        for other in held:
+                            small, large = (s, other) if len(s) <= len(other) else (other, s)
+                            at = np.searchsorted(large, small)
+                            at[at == len(large)] = 0
+                            shared = int(np.count_nonzero(large[at] == small))
+                            found.append((leads[k], ids[k], shared, len(s) + len(other) - shared))
             columns = list(zip(*found)) if found else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], ["a", "b", "shared", "either"]
@@ -296,6 +300,22 @@ def _cross_pairs(left: DataFrame, part: int, whole: int) -> tuple[DataFrame, Dat
     return pairs, left.join(places.drop("place"), ["bucket", "id"], "left_anti")
 
 
+def one_row_per_text(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose text an earlier row has: the row with the smallest ``key`` stays, one without a key only
+    where no other has one. Texts without a word are left alone. Only texts that repeat are shuffled as a whole.
+    """
+    mark, seen, place = unused(docs, "text_mark", "mark_again", "mark_place")
+    marked = docs.withColumn(mark, F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.sha2("text", 256)))
+    again = marked.where(F.col(mark).isNotNull()).groupBy(F.col(mark).alias(seen)).count().where("count > 1").select(seen)
+    again = written(again, "again")
+    alone = marked.join(again, F.col(mark) == F.col(seen), "left_anti")
+    # First without the shuffle's help: equal rows of a task become one before they meet the others.
+    repeated = marked.join(again, F.col(mark) == F.col(seen), "left_semi").dropDuplicates([mark, key])
+    order = W.partitionBy(mark).orderBy(F.col(key).asc_nulls_last())
+    firsts = repeated.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    return alone.unionByName(firsts).drop(mark)
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
 
