@@ -211,6 +211,8 @@ _EVT, _EVT_REST, _EVT_NAME = _flag_sql(
     "event", {"TED": [f"TED{y}" for y in vocab.MAIN_EVENT_YEARS]}, vocab.EVENT_KEYWORDS, vocab.OTHER_EVENTS
 )
 _EVT_FIXED = {**_EVT, "TED_Other": f"case when {_EVT['TED_Global']} = 1 then 0 else {_EVT['TED_Other']} end"}
+#: Every flag of both groups and its SQL.
+FLAG_SQL = {**_OCC, _OCC_NAME: _OCC_REST, **_EVT_FIXED, _EVT_NAME: _EVT_REST}
 EVENT_SQL = ", ".join(f"{s} as {g}" for g, s in _EVT_FIXED.items()) + f", {_EVT_REST} as {_EVT_NAME}"
 
 

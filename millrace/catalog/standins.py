@@ -17,8 +17,12 @@ MONTH_NUMBERS = dict(zip(MONTHS, range(4, 10)))
 
 
 def readings(t: Tables) -> DataFrame:
+    return readings_of(t.events)
+
+
+def readings_of(events: DataFrame) -> DataFrame:
     hour = F.date_trunc("hour", "ts")
-    return t.events.groupBy(
+    return events.groupBy(
         F.col("user_id").alias("building_id"), F.col("event_type").alias("meter"), hour.alias("timestamp")
     ).agg(F.round(F.sum("value"), 2).alias("meter_reading"))
 
@@ -30,6 +34,15 @@ readings as (
   from events group by all)"""
 
 
+def dense_readings(t: Tables) -> DataFrame:
+    """Readings of two buildings, with something in most hours."""
+    rows = t.events.withColumn("user_id", F.col("user_id") % 2 + 1)
+    return readings_of(rows)
+
+
+DENSE_READINGS = READINGS.replace("user_id as", "user_id % 2 + 1 as")
+
+
 def buildings(t: Tables) -> DataFrame:
     return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("building_id"), F.col("n_regionkey").alias("site_id"),

@@ -309,6 +309,46 @@ def _(t):
     return rounded(op.grid_counts(t.lineitem, "l_quantity", "l_extendedprice", 5.0, 10000.0), "log_n")
 
 
+@query(
+    "A26_hexagon_counts",
+    """with s as (select min(l_quantity) as lx, max(l_quantity) as hx, min(l_extendedprice) as ly, max(l_extendedprice) as hy
+               from lineitem),
+    p as (select (l_quantity - lx) / ((hx - lx) / 30.0::double) as u, (l_extendedprice - ly) / ((hy - ly) / 17.0::double) as v
+          from lineitem, s),
+    d as (select *, (u - floor(u + 0.5)) * (u - floor(u + 0.5)) + 3 * ((v - floor(v + 0.5)) * (v - floor(v + 0.5))) <
+                    (u - floor(u) - 0.5) * (u - floor(u) - 0.5) + 3 * ((v - floor(v) - 0.5) * (v - floor(v) - 0.5)) as on_first
+          from p),
+    c as (select cast(case when on_first then 2 * floor(u + 0.5) else 2 * floor(u) + 1 end as bigint) as x_half,
+                 cast(case when on_first then 2 * floor(v + 0.5) else 2 * floor(v) + 1 end as bigint) as y_half, count(*) as n
+          from d group by 1, 2)
+    select x_half, y_half, round(lx + x_half / 2.0::double * ((hx - lx) / 30.0::double), 4) as x,
+           round(ly + y_half / 2.0::double * ((hy - ly) / 17.0::double), 4) as y, n, round(log10(n), 6) as log_n
+    from c, s""",
+)
+def _(t):
+    found = op.hexagon_counts(t.lineitem, "l_quantity", "l_extendedprice", 30)
+    return rounded(rounded(found, "x", "y", digits=4), "log_n")
+
+
+@query(
+    "A26_density_2d",
+    """with s as (select count(*) as n, min(p_size) as lx, max(p_size) as hx, stddev_samp(p_size) as sx,
+                      min(p_retailprice) as ly, max(p_retailprice) as hy, stddev_samp(p_retailprice) as sy from part),
+    w as (select *, (hx - lx) / 40.0::double as wx, (hy - ly) / 40.0::double as wy, pow(n, -1.0 / 6) * sx as bx,
+                 pow(n, -1.0 / 6) * sy as by_ from s),
+    c as (select least(cast(floor((p_size - lx) / wx) as int), 39) as i, least(cast(floor((p_retailprice - ly) / wy) as int), 39) as j,
+                 count(*) as k from part, w group by 1, 2),
+    g as (select cast(r as int) as point from range(40) t(r)),
+    h as (select a.point as x_point, b.point as y_point, sum(k * exp(-0.5 * pow((a.point - i) * wx / bx, 2))
+                 * exp(-0.5 * pow((b.point - j) * wy / by_, 2))) as total from c, w, g a, g b group by 1, 2)
+    select x_point, y_point, round(lx + (x_point + 0.5) * wx, 6) as x, round(ly + (y_point + 0.5) * wy, 6) as y,
+           round(total / (n * bx * by_ * 2 * pi()) * 1000000, 5) as density from h, w""",
+)
+def _(t):
+    found = op.density_2d(t.part, "p_size", "p_retailprice", 40)
+    return rounded(found, "x", "y").withColumn("density", r(F.col("density") * 1000000, 5))
+
+
 @query(
     "A27_density",
     """with s as (select count(c_acctbal) as n, min(c_acctbal) as lo, max(c_acctbal) as hi,

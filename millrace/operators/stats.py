@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -203,6 +204,77 @@ def density(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     return sums.select("point", at.alias("x"), (F.col("k") / norm).alias("density"))
 
 
+def hexagon_counts(df: DataFrame, x: str, y: str, columns: int) -> DataFrame:
+    """``x_half, y_half, x, y, n, log_n``: rows per hexagon, ``columns`` of them across the values of ``x``.
+
+    Centres lie on two square lattices, shifted by half a step against each other, and a row belongs to the nearer one of
+    the two centres next to it. ``x_half`` and ``y_half`` number the centres in half steps, ``x`` and ``y`` are their values.
+    Rows with a null are left out; a column with one value is one step wide.
+    """
+    rows_up = max(1, int(columns / math.sqrt(3)))
+    kept = df.select(F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")).dropna()
+    span = kept.agg(*[f(c).alias(f"{t}{c}") for c in ("__x", "__y") for t, f in (("lo", F.min), ("hi", F.max))])
+    bound = lambda name: span.select(name).scalar()
+    at, step = {}, {}
+    for c, n in (("__x", columns), ("__y", rows_up)):
+        low, high = bound(f"lo{c}"), bound(f"hi{c}")
+        step[c] = F.when(high > low, (high - low) / F.lit(float(n))).otherwise(F.lit(1.0))
+        at[c] = (F.col(c) - low) / step[c]
+    # As columns, so that each row works them out once.
+    placed = kept.select(at["__x"].alias("u"), at["__y"].alias("v"))
+    u, v = F.col("u"), F.col("v")
+    square = lambda a: a * a
+    near, beside = (F.floor(u + 0.5), F.floor(v + 0.5)), (F.floor(u), F.floor(v))
+    first = square(u - near[0]) + 3 * square(v - near[1])
+    second = square(u - beside[0] - 0.5) + 3 * square(v - beside[1] - 0.5)
+    halves = [
+        F.when(first < second, 2 * a).otherwise(2 * b + 1).cast("bigint").alias(name)
+        for a, b, name in zip(near, beside, ("x_half", "y_half"))
+    ]
+    counts = placed.select(*halves).groupBy("x_half", "y_half").agg(F.count(F.lit(1)).alias("n"))
+    centre = lambda name, c: bound(f"lo{c}") + F.col(name) / 2 * step[c]
+    return counts.select(
+        "x_half", "y_half", centre("x_half", "__x").alias("x"), centre("y_half", "__y").alias("y"), "n",
+        F.log10(F.col("n").cast("double")).alias("log_n"),
+    )
+
+
+def density_2d(df: DataFrame, x: str, y: str, points: int = 50) -> DataFrame:
+    """``x_point, y_point, x, y, density``: Gaussian kernel density of two columns on a grid of ``points`` by ``points``.
+
+    Rows are counted on the grid first. The kernel of two columns is the product of two, so the counts are spread
+    along one axis and then along the other; after the count, work depends on the grid alone. Bandwidths are
+    ``n^(-1/6)`` standard deviations. Rows with a null are left out; with a column of one value the density is null.
+    """
+    names = {"x": x, "y": y}
+    kept = df.select(*[F.col(c).cast("double").alias(a) for a, c in names.items()]).dropna()
+    stats = kept.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(a).alias(f"{t}_{a}") for a in names for t, f in (("lo", F.min), ("hi", F.max), ("sd", F.stddev_samp))],
+    )
+    of = lambda name: stats.select(name).scalar()
+    width = {a: (of(f"hi_{a}") - of(f"lo_{a}")) / F.lit(float(points)) for a in names}
+    band = {a: F.pow(of("n").cast("double"), F.lit(-1.0 / 6)) * of(f"sd_{a}") for a in names}
+    bins = {
+        a: F.least(F.coalesce(F.floor(F.try_divide(F.col(a) - of(f"lo_{a}"), width[a])), F.lit(0)), F.lit(points - 1)).cast("int")
+        for a in names
+    }
+    spread = kept.select(*[bins[a].alias(f"{a}_bin") for a in names]).groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("w"))
+    for a in names:
+        gap = (F.col(f"{a}_point") - F.col(f"{a}_bin")) * width[a]
+        kernel = F.exp(-0.5 * F.pow(F.try_divide(gap, band[a]), F.lit(2.0)))
+        others = [c for c in spread.columns if c not in (f"{a}_bin", "w")]
+        spread = (
+            spread.withColumn(f"{a}_point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+            .groupBy(*others, f"{a}_point").agg(F.sum(F.col("w") * kernel).alias("w"))
+        )
+    norm = of("n") * band["x"] * band["y"] * F.lit(2.0) * F.pi()
+    middle = {a: of(f"lo_{a}") + (F.col(f"{a}_point") + 0.5) * width[a] for a in names}
+    return spread.select(
+        "x_point", "y_point", *[m.alias(a) for a, m in middle.items()], F.try_divide(F.col("w"), norm).alias("density")
+    )
+
+
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
     """Quartiles, whiskers (last values within 1.5 quartile distances) and outlier count."""
     v = F.col(col)

@@ -29,6 +29,8 @@ FLAGS = [
     *vocab.OCCUPATION_GROUPS, vocab.OTHER_OCCUPATIONS, *vocab.WEEKDAYS, "TEDx", "TED", "TED_Global",
     "TED_Other", "Non_TED_University", "Non_TED_Other", "how", "question",
 ]
+#: What the class of a talk is learned from.
+ATTRIBUTES = ["duration", "num_speaker", "speaker_trend", "tags_trend", "funny_factor", *FLAGS]
 
 
 def _within_range(df: DataFrame, col: str):
@@ -63,15 +65,21 @@ def with_class(df: DataFrame, col: str = "popularity", num: int = 3) -> DataFram
 
 
 def with_flags(df: DataFrame) -> DataFrame:
-    """Occupation, event, weekday and title flags, all as 0/1 columns of one projection chain."""
-    out = with_event_flags(with_occupation_flags(fill_mode(df, "speaker_occupation")))
+    """Occupation, event, weekday and title flags, all as 0/1 columns of one projection chain.
+
+    Where the text of a flag is missing, its group's rest flag is set and all else is 0.
+    """
+    out = with_event_flags(with_occupation_flags(df))
+    rests = (vocab.OTHER_OCCUPATIONS, vocab.OTHER_EVENTS)
+    groups = [c for c in out.columns if c not in df.columns]
+    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(int(c in rests))) for c in groups})
     out = out.withColumns(
         {
             "year": epoch_year("published_date"),
             "published_day": epoch_day("published_date"),
             "__weekday": weekday_name(F.timestamp_seconds("published_date")),
-            "question": contains_flag("title", "?"),
-            "how": contains_flag("title", "How"),
+            "question": F.coalesce(contains_flag("title", "?"), F.lit(0)),
+            "how": F.coalesce(contains_flag("title", "How"), F.lit(0)),
         }
     )
     days = {name.split("_day_")[1]: c for name, c in dummies("__weekday", vocab.WEEKDAYS, "_day").items()}
@@ -88,5 +96,11 @@ def with_trends(
 
 
 def features(talks: DataFrame, transcripts: DataFrame, key: str, text: str, word: str = vocab.LAUGH_WORD) -> DataFrame:
-    rows = written(with_humour(scored(talks), laughs(transcripts, key, text, word), key), "humour")
-    return with_flags(with_class(rows.where(F.col("popularity").isNotNull())))
+    """Scores, classes and flags of all talks, and of transcripts without a talk.
+
+    Those have their ``funny_factor``, no popularity and no class, and the flags of rows without texts. The missing
+    occupations of talks are filled before transcripts come in.
+    """
+    rated = fill_mode(scored(talks), "speaker_occupation")
+    rows = written(with_humour(rated, laughs(transcripts, key, text, word), key), "humour")
+    return with_flags(with_class(rows))
