@@ -115,7 +115,7 @@ def test_rules_name_features(run):
     assert "If (" in text and "Predict:" in text and "feature 0 " not in text
 
 
-@pytest.mark.parametrize("key", ["L9_density_sweep", "L11_single_link_k", "L16_rules_of_client_rows", "energy_model_errors"])
+@pytest.mark.parametrize("key", ["L9_density_sweep_by_cells", "L11_single_link_k_by_cells", "L16_rules_of_client_rows", "energy_model_errors"])
 def test_gives_rows(run, key):
     assert run(key)
 
