@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.mixing import mixed_documents
-from millrace.llm.neardup import near_duplicates, one_row_per_text
+from millrace.llm.neardup import near_duplicates, one_row_per_text, repeated_texts
 from millrace.llm.packing import pack
 from millrace.llm.quality_model import fit_quality_model, keep_good
 from millrace.llm.secrets import redact_secrets
@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (name,) = unused(docs, "gone_id")
     gone = near_duplicates(docs, size=5, part=80, whole=100).where(~F.col("kept")).select(F.col("doc_id").alias(name))
     left = docs.join(gone.distinct(), docs["doc_id"].cast("long") == F.col(name), "left_anti")
-    return one_row_per_text(left)
+    return one_row_per_text(left, repeated_texts(docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -300,19 +300,31 @@ def _cross_pairs(left: DataFrame, part: int, whole: int) -> tuple[DataFrame, Dat
     return pairs, left.join(places.drop("place"), ["bucket", "id"], "left_anti")
 
 
-def one_row_per_text(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose text an earlier row has: the row with the smallest ``key`` stays, one without a key only
-    where no other has one. Texts without a word are left alone. Only texts that repeat are shuffled as a whole.
+def _text_mark() -> Column:
+    """Tells texts with a word apart; null for others."""
+    return F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.sha2("text", 256))
+
+
+def repeated_texts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``seen``: marks of the texts that one ``key`` has more than once, or rows without a ``key`` have as well."""
+    pairs = docs.select(_text_mark().alias("seen"), F.col(key).alias("key")).where("seen is not null").groupBy("seen", "key")
+    totals = pairs.agg(F.count(F.lit(1)).alias("n")).groupBy("seen").agg(F.sum("n").alias("n"), F.count("key").alias("keys"))
+    return written(totals.where("n > 1 and n > keys").select("seen"), "repeated")
+
+
+def one_row_per_text(docs: DataFrame, repeated: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose text an earlier row has, for the texts in ``repeated``: the row with the smallest ``key``
+    stays, one without a key only where no other has one. Other rows stay as they are, texts without a word among them.
     """
+    if repeated.isEmpty():
+        return docs
     mark, seen, place = unused(docs, "text_mark", "mark_again", "mark_place")
-    marked = docs.withColumn(mark, F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.sha2("text", 256)))
-    again = marked.where(F.col(mark).isNotNull()).groupBy(F.col(mark).alias(seen)).count().where("count > 1").select(seen)
-    again = written(again, "again")
+    marked, again = docs.withColumn(mark, _text_mark()), repeated.select(F.col("seen").alias(seen))
     alone = marked.join(again, F.col(mark) == F.col(seen), "left_anti")
-    # First without the shuffle's help: equal rows of a task become one before they meet the others.
-    repeated = marked.join(again, F.col(mark) == F.col(seen), "left_semi").dropDuplicates([mark, key])
+    # Equal rows of a task become one before they meet the others.
+    found = marked.join(again, F.col(mark) == F.col(seen), "left_semi").dropDuplicates([mark, key])
     order = W.partitionBy(mark).orderBy(F.col(key).asc_nulls_last())
-    firsts = repeated.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    firsts = found.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
     return alone.unionByName(firsts).drop(mark)
 
 
