@@ -10,7 +10,7 @@ from millrace.catalog.registry import query
 from millrace.functions.scalar import clip_negative, residual
 from millrace.operators import centres, metrics, staged
 from millrace.operators import learners as op
-from millrace.operators.features import assembled, z_score
+from millrace.operators.features import assembled, min_max, z_score
 from millrace.operators.ranking import hash_split, stratified_folds, stratified_split
 from millrace.operators.stats import category_counts
 from millrace.session import written
@@ -48,12 +48,12 @@ def split_credit(t):
 _FIGURES = ["credit_limit", "avg_ba", "avg_pa", "age"]
 
 
-def client_figures(t):
-    """``client_id, features``: limit, mean bill, mean payment and age of every client as z-scores."""
+def client_figures(t, scale=z_score, suffix="_z"):
+    """``client_id, features``: limit, mean bill, mean payment and age of every client, as z-scores by default."""
     from millrace.plans.credit import cleaned
 
     rows = written(cleaned(st.clients(t)).select("client_id", *_FIGURES), "figures")
-    return assembled(z_score(rows, _FIGURES), [f"{c}_z" for c in _FIGURES]).select("client_id", "features")
+    return assembled(scale(rows, _FIGURES), [f"{c}{suffix}" for c in _FIGURES]).select("client_id", "features")
 
 
 @query("L1_linear_regression")
@@ -108,7 +108,8 @@ def _(t):
 
 @query("L12_nested_clusters")
 def _(t):
-    return op.nested_clusters(client_figures(t), "client_id", 4)
+    # Halving starts beside the middle of all rows, in proportion to its length, so that must not be zero.
+    return op.nested_clusters(client_figures(t, min_max, "_sc"), "client_id", 4)
 
 
 _SIZES = [10, 20, 30, 40, 50, 60, 70]
