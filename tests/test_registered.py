@@ -100,6 +100,11 @@ def test_sweep_and_its_best(run):
     assert train == sorted(train, reverse=True)  # deeper trees fit the training rows better
 
 
+def test_forest_sweep(run):
+    rows = run("L23_forest_validation_sweep")
+    assert Counter(r.params for r in rows) == {f"forest_depth={d}": 2 for d in range(15, 22)} and min(r.msle for r in rows) > 0
+
+
 def test_held_out_predictions(run):
     rows = run("L25_predictions_on_held_out_rows")
     assert rows and len({r.client_id for r in rows}) == len(rows) and {r.prediction for r in rows} <= {0.0, 1.0}
