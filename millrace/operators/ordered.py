@@ -129,7 +129,9 @@ def quantiles(
     result = None
     for col in cols:
         ranks = value_ranks(df, col, by, hot_rows=hot_rows)
-        ranks = with_group_stats(ranks, by, F.sum("n").alias("__total"))
+        total = F.sum("n").alias("__total")
+        # Joined, not a scalar subquery: the result may itself be read as one, and such can't be nested.
+        ranks = with_group_stats(ranks, by, total) if by else ranks.crossJoin(F.broadcast(ranks.agg(total)))
         picks = []
         for i, p in enumerate(probs):
             pos = (F.col("__total") - 1) * F.lit(float(p))
@@ -158,7 +160,7 @@ def quantiles(
             cond = same_keys([(result[k], one[a]) for k, a in keys.items()])
             result = result.join(one, cond, "full").drop(*keys.values())
         else:
-            result = result.withColumn(col, one.scalar())
+            result = result.crossJoin(F.broadcast(one))
     return result
 
 

@@ -42,13 +42,13 @@ def describe(
         ]
     base = df.groupBy(*by).agg(*aggs)
     quarts = quantiles(df, cols, [0.25, 0.5, 0.75], by, hot_rows)
+    quart = {c: F.col(f"__q_{c}") for c in cols}
+    keys = {k: f"__key_{i}" for i, k in enumerate(by)}
+    right = quarts.withColumnsRenamed({**keys, **{c: f"__q_{c}" for c in cols}})
     if by:
-        keys = {k: f"__key_{i}" for i, k in enumerate(by)}
-        right = quarts.withColumnsRenamed({**keys, **{c: f"__q_{c}" for c in cols}})
         both = base.join(right, same_keys([(base[k], right[a]) for k, a in keys.items()]), "left")
-        quart = {c: F.col(f"__q_{c}") for c in cols}
     else:
-        both, quart = base, {c: quarts.select(c).scalar() for c in cols}
+        both = base.crossJoin(F.broadcast(right))
     cells = [
         F.struct(
             F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"),

@@ -54,6 +54,15 @@ def test_quantiles_of_two_columns(rows):
         same(show(plain), show(split))
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_describe_and_box_of_a_large_table(rows, by):
+    """Totals of the way by ranges were scalar subqueries inside another one, which Spark can't run."""
+    both = rows.withColumn("y", F.col("x") * F.col("id"))
+    shown = lambda d: d.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in d.dtypes])
+    same(shown(stats.describe(both, ["x", "y"], by)), shown(stats.describe(both, ["x", "y"], by, hot_rows=0)))
+    same(shown(stats.box_stats(both, "x", by)), shown(stats.box_stats(both, "x", by, hot_rows=0)))
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals(rows, descending):
     counts = rows.groupBy("g", "x").agg(F.count("id").alias("n")).where("x is not null")
