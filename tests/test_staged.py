@@ -113,6 +113,24 @@ def test_search_is_a_fit_per_candidate(rows):
         assert row["mean"] == pytest.approx(sum(shares) / 3)
 
 
+def test_a_search_keeps_no_rows_of_nodes(rows, monkeypatch):
+    """Each of the many deep trees was held as a dictionary per node until the last one was fitted."""
+    def refuse(*_):
+        raise AssertionError("nodes as rows")
+
+    monkeypatch.setattr(staged, "SavedTrees", refuse)
+    folded = stratified_folds(rows, "label", "id", 3, 5).cache()
+    assert staged.search_trees(folded, staged.tree_grid({"depth": [2, None], "min_split": [2, 40]}), "fold", 3).count() == 4
+
+
+@pytest.mark.parametrize(("depth", "min_split"), [(None, 2), (3, 2), (None, 40), (5, 25), (0, 2)])
+def test_node_columns_cut_as_saved_trees_do(rows, depth, min_split):
+    deep = DecisionTreeClassifier(maxDepth=12, seed=4).fit(rows)
+    (tree,), columns = staged.SavedTrees(deep, rows.sparkSession).trees, staged.NodeColumns.of(deep, rows.sparkSession)
+    want = [tree.nodes[tree.stop(tree.path(leaf), depth, min_split)]["prediction"] for leaf in tree.leaves()]
+    assert columns.says(columns.levels(), depth, min_split).tolist() == want
+
+
 def test_sweep_is_a_fit_per_depth(rows):
     train, valid = rows.where("id % 4 <> 0"), rows.where("id % 4 = 0")
     sweep = staged.staged_sweep(train, valid, DecisionTreeRegressor(labelCol="value", seed=4), [2, 4, 7], label="value").collect()
