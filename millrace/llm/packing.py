@@ -32,6 +32,8 @@ WINDOW = 2048
 END_ID = 1
 #: Open windows of a task before they are closed early, so that its memory is bounded.
 MOST_OPEN = 4096
+#: Bytes of texts tokenized at once; their word and id arrays take many times as much.
+RUN_BYTES = 256 << 10
 _SEQUENCES_PER_TASK = 1 << 40
 _SLOTS = 1 << 20
 
@@ -59,11 +61,9 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        # For words; a text that holds an added token's literal goes whole through the plain tokenizer.
-        self.plain = Tokenizer.from_file(tokenizer_file)
-        self.literals = [t.content.lower().encode() for t in self.plain.get_added_tokens_decoder().values()]
+        # A text that holds an added token's literal goes whole through the tokenizer; words are read as if there were none.
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.literals = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # The symbol that stands for each byte, read off the byte-level step itself.
@@ -92,7 +92,11 @@ class WordTokens:
                     found[k] = [t.id for t in tokenize(word)]
                     continue
             rest.append((k, word))
-        made = self.tokenizer.encode_batch_fast([w for _, w in rest], add_special_tokens=False)
+        self.tokenizer.encode_special_tokens = True
+        try:
+            made = self.tokenizer.encode_batch_fast([w for _, w in rest], add_special_tokens=False)
+        finally:
+            self.tokenizer.encode_special_tokens = False
         for (k, _), e in zip(rest, made):
             found[k] = e.ids
         return found
@@ -117,7 +121,7 @@ class WordTokens:
             own = ids[bounds[k] : bounds[k + 1]]
             if any(literal in body[a - low : b - low] for literal in self.literals):
                 text = data[a:b].tobytes().decode("utf-8", "replace")
-                own = np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
+                own = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
             parts.append(own)
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(own) for own in parts])])
 
@@ -236,7 +240,7 @@ def _pack(tokenizer_file: str, window: int, end_id: int):
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             data, offsets = text_buffers(batch.column(1))
-            for a, b in runs(offsets, 4 << 20):
+            for a, b in runs(offsets, RUN_BYTES):
                 ids, bounds = tokens.encode(data, offsets[a : b + 1])
                 bounds = bounds.tolist()
                 for k in range(b - a):

@@ -29,6 +29,30 @@ def test_literals_of_added_tokens_are_tokenized_as_the_tokenizer_does():
         assert ids[bounds[k] : bounds[k + 1]].tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
 
+def test_packing_a_batch_takes_little_more_memory_than_a_part_of_it(monkeypatch):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    from millrace.llm import packing
+
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = ["small words of a line, 7 and 8 of them. " * 100] * 1000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(texts)], ["doc_id", "text"])
+    task = packing._pack(public_tokenizers.path("word_bpe_49k.json"), 2048, 1)
+    list(task([batch.slice(0, 1)]))
+    tracemalloc.start()
+    try:
+        tokens = sum(sum(out["length"].to_pylist()) for out in task([batch]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert tokens == 1000 * (1 + len(packing.WordTokens(public_tokenizers.path("word_bpe_49k.json")).tokenizer.encode(texts[0], add_special_tokens=False).ids))
+    assert most < 80 << 20
+
+
 def test_numbers_and_marks_are_no_letters():
     from millrace.llm.langid import has_letter
 
