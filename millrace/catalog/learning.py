@@ -92,7 +92,7 @@ def _(t):
 @query("L5_random_forest_classifier")
 def _(t):
     train, test = split_credit(t)
-    forest = op.forest_classifier(200, 5, 5).fit(train)
+    forest = op.forest_classifier(200, 5, 5).fit(op.dealt(train, 200))
     model = staged.SavedTrees(forest, t.spark).collapsed(min_split=50)
     return metrics.averaged_scores(op.scores(model, test, "label", "prediction"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterable, Mapping, Sequence
 from itertools import product
@@ -22,6 +23,8 @@ from millrace.session import scratch_path, written
 
 # The deepest tree the learner accepts; a missing depth means this one.
 DEEPEST = 30
+#: Weights that a task of a forest's fit holds: one per row and tree.
+TASK_WEIGHTS = 8_000_000
 PENALTIES = {"none": 0.0, "l1": 1.0, "l2": 0.0}
 
 
@@ -83,6 +86,15 @@ class kept:
             t.unpersist()
 
 
+def dealt(train: DataFrame, trees: int) -> DataFrame:
+    """``train`` in as many equal partitions as a forest of ``trees`` needs, so that no task holds and reads all weights.
+
+    Rows that one task can take stay as they are.
+    """
+    parts = math.ceil(train.count() * trees / TASK_WEIGHTS)
+    return train.repartition(parts) if parts > 1 else train
+
+
 def scores(model: Model, df: DataFrame, *cols: str) -> DataFrame:
     """``cols`` of the scored rows, stored once, so that later steps do not predict again."""
     return written(portable(model, df).transform(df).select(*cols), "scores")

@@ -26,6 +26,15 @@ def test_penalties(spark):
         learners.linear_regression("l3")
 
 
+def test_rows_of_a_large_forest_are_dealt_evenly(classed, monkeypatch):
+    one = classed.coalesce(1)
+    assert learners.dealt(one, 200) is one
+    monkeypatch.setattr(learners, "TASK_WEIGHTS", 10_000)
+    parts = learners.dealt(one, 200).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 6 and max(r["count"] for r in parts) <= 60
+    assert learners.dealt(one, 200).exceptAll(one).isEmpty() and one.count() == 300
+
+
 def test_depth_is_bounded():
     assert [learners.tree_depth(d) for d in (None, 30, 5)] == [30, 30, 5]
     with pytest.raises(ValueError):
