@@ -36,7 +36,8 @@ def _(t):
 
 @query("S2_csv_inferred", "select doc_id, text, source from documents")
 def _(t):
-    path = save_table(t.documents.select("doc_id", "text", "source"), scratch_path(t.spark, "texts"))
+    rows = t.documents.select("doc_id", "text", "source")
+    path = save_table(rows, scratch_path(t.spark, "texts"), rows_per_file=5000)
     return scan_csv_inferred(t.spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 

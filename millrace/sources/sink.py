@@ -14,12 +14,18 @@ def save_table(
     save_as: str = "csv",
     single_file: bool = False,
     partition_by: list[str] | None = None,
+    rows_per_file: int | None = None,
 ) -> str:
-    """Overwrite ``path`` with ``df`` as CSV, JSON or Parquet."""
+    """Overwrite ``path`` with ``df`` as CSV, JSON or Parquet.
+
+    A CSV file whose cells hold line breaks is read whole by one task; ``rows_per_file`` makes more, smaller files.
+    """
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     if save_as == "csv":
         writer = writer.option("header", True).option("escape", '"')
     elif save_as not in ("json", "parquet"):

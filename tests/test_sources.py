@@ -24,6 +24,15 @@ def test_cells_with_line_breaks_and_quotes(spark):
     assert sorted(tuple(r) for r in scan_csv_inferred(spark, path).collect()) == rows
 
 
+def test_files_of_few_rows_give_the_same_rows(spark):
+    path = scratch_path(spark, "few")
+    rows = [(k, f'line {k},\n"quoted"') for k in range(10)]
+    save_table(spark.createDataFrame(rows, "id int, t string").coalesce(1), path, rows_per_file=3)
+    found = scan_csv_inferred(spark, path)
+    assert found.select(F.input_file_name()).distinct().count() == 4
+    assert sorted(tuple(r) for r in found.collect()) == rows
+
+
 def test_vector_of_another_size_is_an_error(spark):
     df = assembled(spark.range(3).withColumn("label", F.lit(1.0)), ["id", "label"])
     path = save_labelled(df, scratch_path(spark, "vectors"))
