@@ -94,3 +94,20 @@ def test_transcripts_without_a_talk_stay(spark):
     assert all(lone[c] == 0 for c in talks.FLAGS if c not in ("Other_Occupations", "Non_TED_Other"))
     assert rows[0]["speaker_occupation"] == "Writer" and rows[0]["funny_factor"] == 0.0
     assert len(talks.ATTRIBUTES) == 27
+
+
+def test_occupation_flags_lower_a_text_once_and_find_parts_of_any_case(spark):
+    from millrace.functions import vocab
+    from millrace.functions.labels import with_occupation_flags
+
+    rows = [("Writer",), ("MARINE BIOlogist",), ("a.c\nLAW (x)",), ("",), (None,)]
+    rows = spark.createDataFrame(rows, "speaker_occupation string").repartition(1)
+    flagged = with_occupation_flags(rows)
+    names = [*vocab.OCCUPATION_GROUPS, vocab.OTHER_OCCUPATIONS]
+    found = {r["speaker_occupation"]: [n for n in names if r[n] == 1] for r in flagged.collect()}
+    assert found == {
+        "Writer": ["Literature"], "MARINE BIOlogist": ["Engineering_Science"], "a.c\nLAW (x)": ["Economy_Politics"],
+        "": [vocab.OTHER_OCCUPATIONS], None: [vocab.OTHER_OCCUPATIONS],
+    }
+    steps = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert steps.count("lower(") == 1
