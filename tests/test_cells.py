@@ -101,6 +101,25 @@ def test_dbscan_sweep(spark):
         assert row.n_noise == sum(c == -1 for c, _ in want.values())
 
 
+def test_cells_apart_are_compared_only_where_touching_cells_do_not_join_them(spark, monkeypatch):
+    given, links = [], cells.cell_links
+
+    def counted(grid, spots, pairs, direct_pairs):
+        given.append(pairs.count())
+        return links(grid, spots, pairs, direct_pairs)
+
+    monkeypatch.setattr(cells, "cell_links", counted)
+    space = cells.Space(("x0", "x1"))
+    block = [(10 * i + j, 0.1 * i, 0.1 + 0.1 * j) for i in range(8) for j in range(8)]
+    # Beside the block, within reach of it, but not in a touching cell; then one out of reach.
+    for points, apart, clusters in ((block, 0, 1), ([*block, (200, 0.3, 1.05), (201, 0.3, 1.5)], 1, 2)):
+        got = {r.id: r.cluster for r in cells.single_link(frame(spark, points, 2), "id", space, 0.29).collect()}
+        pairs = [(a[0], b[0]) for a in points for b in points if gap(a, b, "euclidean") <= 0.29]
+        assert got == brute_components(points, pairs) and len(set(got.values())) == clusters
+        touching, others = given[-2:]
+        assert touching > 0 and (others > 0) == apart
+
+
 def test_line_of_two_clusters_and_noise(spark):
     xs = [0.0, 0.1, 0.2, 0.3, 1.0, 1.1, 1.2, 5.0]
     points = [(i, x) for i, x in enumerate(xs)]
