@@ -45,6 +45,28 @@ def test_a_category_with_one_value_has_no_slot(spark):
     assert [list(r["features"]) for r in alone] == [[0.0], [0.25], [1.0]]
 
 
+def test_energy_models_go_without_a_measure_missing_everywhere(spark, tmp_path):
+    """Where no hour of a site has only values over 5, one measure of the weather is null throughout, and the assembler failed."""
+    from millrace.catalog import QUERIES
+
+    events = [
+        (f"2024-01-{day:02d} 12:00:00", user, ("view", "click")[user % 2], 1.0 + 10 * user + day % 3) for day in range(1, 31) for user in range(6)
+    ]
+    tables = {
+        "events": spark.createDataFrame(events, "ts string, user_id long, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz")),
+        "customer": spark.createDataFrame(
+            [(k, 0, 100.0 * k, ("A", "B")[k % 2]) for k in range(6)], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"
+        ),
+        "nation": spark.createDataFrame([(0, 0)], "n_nationkey int, n_regionkey int"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = QUERIES["energy_model_errors"](spark, str(tmp_path)).collect()
+    assert len(rows) == 6 and all(r.msle >= 0 for r in rows)
+    some = spark.createDataFrame([(1.0, None, None), (None, None, 2.0)], "a double, b double, c double")
+    assert op.empty_columns(some, ["a", "b", "c"]) == ["b"]
+
+
 def test_each_row_is_in_the_nearest_hexagon(spark):
     rng = random.Random(4)
     rows = [(rng.gauss(0, 3), rng.random() * 50) for _ in range(400)]
